@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding, html, langid, packing, simhash
+from . import chat, decontaminate, embedding, html, langid, lm, packing, simhash
 from .common import crc_mod
 
 
@@ -21,12 +21,20 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.sql("select -1L conv_id, t.turn, t.role, '</s>[INST] ok [/INST]' text from values (0L, 'user'), (1L, 'assistant') t(turn, role)")
     return chat.digests(turns.unionByName(control))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 1)
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -48,6 +56,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_html_extraction, op5_chat_formatting, op8_simhash_dedup, op9_language_id, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_html_extraction, op4_decontamination, op5_chat_formatting, op6_lm_scoring, op8_simhash_dedup, op9_language_id, op10_best_fit_packing)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_decontamination": decontaminate.SQL}
