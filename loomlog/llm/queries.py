@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embedding, html, langid, lm, packing, simhash
+from . import chat, decontaminate, embedding, html, langid, lm, packing, simhash, suffix
 from .common import crc_mod
 
 
@@ -21,6 +21,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +60,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_html_extraction, op4_decontamination, op5_chat_formatting, op6_lm_scoring, op8_simhash_dedup, op9_language_id, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_html_extraction, op3_suffix_dedup, op4_decontamination, op5_chat_formatting, op6_lm_scoring, op8_simhash_dedup, op9_language_id, op10_best_fit_packing)}
 
 SQL: dict[str, str] = {"op4_decontamination": decontaminate.SQL}
