@@ -45,6 +45,15 @@ class Scratch:
             p.getFileSystem(conf).delete(p, True)
 
 
+#: A side of a join is broadcast up to so many rows of a few numbers (tens of MB), else shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def checked(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The side of a join, which is a stored table of narrow rows, to be broadcast if it is small enough."""
+    return F.broadcast(side) if side.count() <= rows else side
+
+
 def crc_mod(col, m: int):
     """crc32 of the id's decimal text, modulo m (null for a null id)."""
     return F.crc32(col.cast("string").cast("binary")) % m

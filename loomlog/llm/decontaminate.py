@@ -11,14 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, checked
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words: ASCII but digits and lower-case letters.
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A side of a join is broadcast up to so many rows of a few numbers (tens of MB), else shuffled.
-BROADCAST_ROWS = 500_000
-
 
 def words(text: Column) -> Column:
     """The words of a text, A-Z lower-cased; no other letter changes."""
@@ -28,11 +25,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, _BETWEEN, -1), "")
 
 
-def checked(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The side of a join, which is a stored table, to be broadcast if it is small enough."""
-    return F.broadcast(side) if side.count() <= rows else side
-
-
 class Index:
     """Tables of one corpus and one benchmark: terms (key, item_id, n, ipos, t), postings (k, id,
     pos, t), where t is 0 for the posting behind the last word."""
@@ -130,6 +122,7 @@ def contamination(docs: DataFrame, bench: DataFrame, *, width: int = 13, part: i
 def decontaminate(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of docs that are not contaminated; rows with a null id stay."""
     bad = contamination(docs, bench, id_col=id_col, **options).where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
+    bad = checked(Scratch(docs.sparkSession, "contaminated").write(bad, "ids"))
     return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embedding, html, langid, lm, packing, simhash, suffix
+from . import chat, decontaminate, embedding, html, langid, lm, packing, quality, simhash, suffix
 from .common import crc_mod
 
 
@@ -39,6 +39,11 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 1)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("row.doc_id", "n_tokens", "perplexity", "threshold", "kept")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_html_extraction, op3_suffix_dedup, op4_decontamination, op5_chat_formatting, op6_lm_scoring, op8_simhash_dedup, op9_language_id, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_html_extraction, op3_suffix_dedup, op4_decontamination, op5_chat_formatting, op6_lm_scoring, op7_quality_classifier, op8_simhash_dedup, op9_language_id, op10_best_fit_packing)}
 
 SQL: dict[str, str] = {"op4_decontamination": decontaminate.SQL}

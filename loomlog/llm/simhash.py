@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, blocks_of, components, forest, in_blocks, sorted_groups, text_bytes
+from .common import Scratch, blocks_of, checked, components, forest, in_blocks, sorted_groups, text_bytes
 
 BLOCK = 256
 
@@ -136,5 +136,7 @@ def simhash_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """The rows of docs whose document names its component: one of each group stays. Rows with a
     null id stay. Columns are those of docs."""
     groups = simhash_groups(docs, id_col=id_col, text_col=text_col, width=width, distance=distance)
+    scratch = Scratch(docs.sparkSession, "simhash-gone")
     gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
+    gone = checked(scratch.write(gone, "ids"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -216,9 +216,9 @@ def _columns(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(blob, np.int64).reshape(n, -1)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 100, bucket_mb: float = BUCKET_MB) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 100, bucket_mb: float = BUCKET_MB, carry: list[str] = ()) -> DataFrame:
     """One row for each document: id_col, n_bytes, spans (array of start and end of the maximal
-    removed runs, in bytes), kept (binary: what is left).
+    removed runs, in bytes), kept (binary: what is left), then the columns named in carry.
 
     A byte goes if a string of `width` bytes that covers it also starts earlier: in a smaller id or
     in the same document before. A null text is empty; texts of fewer bytes than width lose none;
@@ -234,8 +234,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     buckets = max(FEWEST, math.ceil(size / (bucket_mb * 1e6)))
     parts = buckets
     id_ = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(id_.alias("id"), F.col(id_col).isNull().alias("lost"), text_bytes(text_col).alias("t"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).select("bucket", "id", "lost", "t")
+    rows = docs.select(id_.alias("id"), F.col(id_col).isNull().alias("lost"), text_bytes(text_col).alias("t"), F.struct(F.lit(0).alias("_"), *[docs[c] for c in carry]).alias("x"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).select("bucket", "id", "lost", "t", "x")
+    whole_rows, rows = rows, rows.drop("x")
 
     # exact copies: all but the smallest id go whole, and need no suffixes
     marks = rows.where(F.length("t") >= width).select("bucket", "id", F.sha2("t", 256).alias("sha"))
@@ -368,7 +369,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def cut_out(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
-            return pd.DataFrame({"id": [], "lost": [], "n_bytes": [], "spans": [], "kept": []})
+            return pd.DataFrame({"id": [], "lost": [], "n_bytes": [], "spans": [], "kept": [], "x": []})
         ranges = [_columns(b, 3) for b in found["gone"] if b is not None]
         single = found["lo"].notna().to_numpy()
         lo = found["lo"][single].to_numpy(np.int64)
@@ -388,11 +389,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 at = q
             spans.append([{"start": p, "end": q} for p, q in own])
             kept.append(b"".join([*left, t[at:]]))
-        return pd.DataFrame({"id": pdf["id"], "lost": pdf["lost"], "n_bytes": [len(t) for t in pdf["t"]], "spans": spans, "kept": kept})
+        return pd.DataFrame({"id": pdf["id"], "lost": pdf["lost"], "n_bytes": [len(t) for t in pdf["t"]], "spans": spans, "kept": kept, "x": pdf["x"]})
 
-    out = rows.groupBy("bucket").cogroup(marked.groupBy("bucket")).applyInPandas(cut_out, "id long, lost boolean, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    kind = whole_rows.schema["x"].dataType.simpleString()
+    out = whole_rows.groupBy("bucket").cogroup(marked.groupBy("bucket")).applyInPandas(cut_out, f"id long, lost boolean, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, x {kind}")
     kind = docs.schema[id_col].dataType
-    return out.select(F.when(~F.col("lost"), F.col("id")).cast(kind).alias(id_col), "n_bytes", "spans", "kept")
+    return out.select(F.when(~F.col("lost"), F.col("id")).cast(kind).alias(id_col), "n_bytes", "spans", "kept", *[F.col("x")[c].alias(c) for c in carry])
 
 
 def digests(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
