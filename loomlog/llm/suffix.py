@@ -30,7 +30,7 @@ GRAM, BUCKET_MB, FEWEST = 32, 8, 48
 SAMPLED = 40
 _STEP = 0x9E3779B97F4A7C15 | 1
 _PLACE = (1 << 26) - 1
-_SLICE = 1 << 22
+_SLICE = 1 << 20
 
 
 def gram_hashes(buf: np.ndarray, n: int) -> np.ndarray:
@@ -74,8 +74,8 @@ def suffix_records(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray,
         whole = np.frombuffer(b"".join(texts[lo:hi]), np.uint8)
         lens = np.fromiter((len(t) for t in texts[lo:hi]), np.int64, hi - lo)
         ends = np.cumsum(lens)
-        for a in range(0, len(whole), 8 * _SLICE):  # a longer text goes in slices, windows whole
-            at, h = window_anchors(whole[a : a + 8 * _SLICE + width - 1], width)
+        for a in range(0, len(whole), 2 * _SLICE):  # a longer text goes in slices, windows whole
+            at, h = window_anchors(whole[a : a + 2 * _SLICE + width - 1], width)
             first = np.arange(a, a + len(at))
             doc = np.searchsorted(ends, first, "right")
             ok = np.flatnonzero(first + width <= ends[doc])
