@@ -103,7 +103,7 @@ class Powers:
         return self.up, self.down
 
 
-def blocks_of(texts: list[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def blocks_of(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about limit bytes together, one text at least."""
     lo, size = 0, 0
     for i, t in enumerate(texts):

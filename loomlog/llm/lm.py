@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Scratch, hash_words, mix64, text_bytes
+from .common import Powers, Scratch, blocks_of, hash_words, mix64, text_bytes
 
 #: MB of text in a bucket; training tokens in a partition of the hash space; fewest of either.
 BUCKET_MB, PART_TOKENS, FEWEST = 8, 2_000_000, 48
@@ -129,9 +129,12 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 
 def bucket_tokens(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of the texts, an end token after each, and where each text begins."""
-    h, first = hash_words(texts, powers)
-    out = np.insert(h, first[1:], END)
-    return out, first + np.arange(len(first))
+    out, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for lo, hi in blocks_of(texts):
+        h, first = hash_words(texts[lo:hi], powers)
+        out.append(np.insert(h, first[1:], END))
+        sizes.append(np.diff(first) + 1)
+    return np.concatenate(out), np.cumsum(np.concatenate(sizes))
 
 
 def bigram_keys(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
