@@ -83,11 +83,11 @@ def phrase_matches(docs: DataFrame, bench: DataFrame, *, width: int = 13, id_col
 
 
 def proximity_matches(docs: DataFrame, bench: DataFrame, *, width: int = 13, least: float = 0.7, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Near matches (item_id, id_col, doc_from, matched, of): alignments at a window's rarest term
-    where at least that share of the `width` words around a matched word stand in their places."""
+    """Near matches (item_id, id_col, doc_from, matched, of): alignments at the rarest term of any
+    third of a window where at least that share of the `width` words around a matched word stand in their places."""
     index = Index(docs, bench, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col)
     ahead = Window.partitionBy("key", "k", "diag").orderBy("ipos").rangeBetween(0, width - 1)
-    x = index.alignments(width).withColumn("matched", F.count(F.lit(1)).over(ahead))
+    x = index.alignments(max(1, width // 3)).withColumn("matched", F.count(F.lit(1)).over(ahead))
     items = index.terms.select("key", "item_id", F.least(F.lit(width), F.col("n")).alias("of")).distinct()
     x = x.join(items, "key").where(F.col("matched") >= F.col("of") * least)
     ids = index.postings.where("t = 0").select("k", F.col("id").alias(id_col))

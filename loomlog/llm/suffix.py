@@ -310,7 +310,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def sample(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"g": [r.astype(">u8").tobytes() for r in gram], "id": x["id"]}) for x, gram in suffixes(pdf, found)]
-        return pd.concat(out) if out else pd.DataFrame({"g": [], "id": []})
+        return pd.concat(out) if out else pd.DataFrame(columns=["g", "id"])
 
     share = min(1.0, SAMPLED * parts * 250.0 / max(1, size))  # a suffix for each 50 bytes, of which a fifth repeats
     some = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
@@ -369,7 +369,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def cut_out(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
-            return pd.DataFrame({"id": [], "lost": [], "n_bytes": [], "spans": [], "kept": [], "x": []})
+            return pd.DataFrame(columns=["id", "lost", "n_bytes", "spans", "kept", "x"])
         ranges = [_columns(b, 3) for b in found["gone"] if b is not None]
         single = found["lo"].notna().to_numpy()
         lo = found["lo"][single].to_numpy(np.int64)
