@@ -243,7 +243,7 @@ def extract_text(
         rows = rows.join(F.broadcast(lists), "host", "left")
     else:
         salt = F.pmod(F.xxhash64("id", "u"), F.lit(SALTS))
-        lists = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        lists = lists.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         rows = rows.withColumn("salt", salt).join(lists, ["host", "salt"], "left")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -88,7 +88,7 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
                     gram, count = np.unique(np.concatenate(seen), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([one] * len(gram), pa.string()), pa.array(gram), pa.array(count)], ["lang", "h", "n"])
 
-    need = F.create_map(*[F.lit(x) for k in langs for x in (k, 1.0 + LEAST * min(sample, counts[k]))])
+    need = F.create_map(*[F.lit(x) for k in langs for x in (k, max(1.0, LEAST * min(sample, counts[k])))])
     found = picked.mapInArrow(run, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
     found = found.where(F.col("n") >= need[F.col("lang")]).select("lang", "h").toPandas()
     table = [np.zeros(CELLS, np.uint64) for _ in range(-(-len(langs) // 64))]

@@ -353,7 +353,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             own = bucket[row]
             for b in np.unique(own):
                 k = own == b
-                out.append((int(b), *(None,) * 4, _ints(*_merged(x["id"][row[k]], lo[k], hi[k]))))
+                out.append((int(b), 0, 0, 0, -1, _ints(*_merged(x["id"][row[k]], lo[k], hi[k]))))
         if asked:
             a, b, row, lo = (np.concatenate(c) for c in zip(*asked))
             out += zip(bucket[row].tolist(), a.tolist(), b.tolist(), x["id"][row].tolist(), lo.tolist(), [None] * len(row))
@@ -362,16 +362,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     found = scratch.write(routed.groupBy("p").applyInPandas(compare, "bucket int, a long, b long, id long, lo long, gone binary"), "found")
     scratch.drop("alive")
     both = Window.partitionBy("a", "b")  # a row for each range partition at most
-    late = found.where("gone is null").withColumn("first", F.min(F.struct("id", "lo")).over(both)).where(F.struct("id", "lo") != F.col("first"))
-    marked = found.where("gone is not null").select("bucket", "id", "lo", "gone", F.lit(None).cast("array<long>").alias("ids"))
+    late = found.where("lo >= 0").withColumn("first", F.min(F.struct("id", "lo")).over(both)).where(F.struct("id", "lo") != F.col("first"))
+    marked = found.where("lo < 0").select("bucket", "id", "lo", "gone", F.lit(None).cast("array<long>").alias("ids"))
     marked = marked.unionByName(late.select("bucket", "id", "lo", "gone", F.lit(None).cast("array<long>").alias("ids")))
-    marked = marked.unionByName(copies.select("bucket", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("lo"), F.lit(None).cast("binary").alias("gone"), "ids"))
+    marked = marked.unionByName(copies.select("bucket", F.lit(0).cast("long").alias("id"), F.lit(-1).cast("long").alias("lo"), F.lit(None).cast("binary").alias("gone"), "ids"))
 
     def cut_out(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame(columns=["id", "lost", "n_bytes", "spans", "kept", "x"])
         ranges = [_columns(b, 3) for b in found["gone"] if b is not None]
-        single = found["lo"].notna().to_numpy()
+        single = found["lo"].to_numpy() >= 0
         lo = found["lo"][single].to_numpy(np.int64)
         ranges.append(np.stack([found["id"][single].to_numpy(np.int64), lo, lo + width]))
         whole = {i for x in found["ids"] if x is not None for i in x}
