@@ -351,7 +351,7 @@ def cooccurrence_span(spark, d):
     return t(spark, d, "conversations").select("conv_id", "turn", F.when((a > 0) & (b > 0), F.greatest(a + 3, b + 3) - F.least(a, b)).alias("span"))
 
 
-@query("SELECT doc_id, CASE WHEN contains(head, '|') OR contains(head, '>') OR contains(head, '<') OR contains(head, ';') OR regexp_matches(head, '^x[A-Za-z0-9_.-]*[ \\t\\n]+-') THEN 'command' WHEN regexp_matches(head, '[()\\[\\]{}=]') THEN 'code' ELSE 'identifier' END AS kind FROM (SELECT doc_id, 'x' || substr(text, 1, 40) AS head FROM documents)")
+@query("SELECT doc_id, CASE WHEN contains(head, '|') OR contains(head, '>') OR contains(head, '<') OR contains(head, ';') OR contains(head, '&&') OR contains(head, '$(') OR regexp_matches(head, '^x[A-Za-z0-9_.-]*[ \\t\\n]+-') THEN 'command' WHEN regexp_matches(head, '[()\\[\\]{}=]') THEN 'code' ELSE 'identifier' END AS kind FROM (SELECT doc_id, 'x' || substr(text, 1, 40) AS head FROM documents)")
 def span_classes(spark, d):
     return t(spark, d, "documents").select("doc_id", grounding.classify_span(F.concat(F.lit("x"), F.substring("text", 1, 40))).alias("kind"))
 
