@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -75,8 +76,6 @@ def summarised(logs: DataFrame, complete: Callable[[str], str] | None = None, te
     if complete is None:
         stub = F.to_json(F.struct(F.substring(F.col(text), 1, 80).alias("asked"), F.array(F.lit("nothing recorded")).alias("done")))
         return logs.withColumn(out, stub)
-    import pandas as pd
-
     @F.pandas_udf(StringType())
     def call(texts: pd.Series) -> pd.Series:
         return texts.map(complete)
