@@ -102,19 +102,20 @@ class LogFrequencyFilter:
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         level = np.zeros(len(keys), np.int64)
-        left = np.arange(len(keys))
+        left, j = np.arange(len(keys)), 1
         shard = shard_of(keys, len(self.bits))
-        j = 1
         while len(left):
-            own, first, bits = keys[left], self.first[shard[left]], self.bits[shard[left]]
-            hit = bits > 0
-            for at in _bits_of(own, j, bits):
-                live = np.flatnonzero(hit)
-                if not len(live):
-                    break
-                a = at[live]
-                hit[live] = self.table[first[live] + (a >> np.uint64(3)).astype(np.int64)] >> (a & np.uint64(7)).astype(np.uint8) & 1
-            left = left[hit]
+            own = shard[left]
+            first, bits = self.first[own], self.bits[own]
+            h = mix64(keys[left] + np.uint64(j * 0x9E3779B97F4A7C15 % (1 << 64)))
+            step = None
+            for _ in range(HASHES):  # most keys miss at the first probe
+                at = (h >> np.uint64(32)) * bits >> np.uint64(32)
+                byte = self.table[np.minimum(first + (at >> np.uint64(3)).astype(np.int64), len(self.table) - 1)] if len(self.table) else np.zeros(len(at), np.uint8)
+                hit = np.flatnonzero((byte >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool) & (bits > 0))
+                left, first, bits, h = left[hit], first[hit], bits[hit], h[hit]
+                step = mix64(h) | np.uint64(1) if step is None else step[hit]
+                h = h + step
             level[left] = j
             j += 1
         return count_of(level)
@@ -228,13 +229,13 @@ def score_documents(
         have = {r["p"]: bytes(r["a"]) for r in found.select("p", "a").toLocalIterator()}
         return [have.get(p, b"") for p in range(parts)]
 
-    shared = spark.sparkContext.broadcast((gather(added.where("kind = 'shard'")), gather(masses)))
+    shared = spark.sparkContext.broadcast((LogFrequencyFilter(gather(added.where("kind = 'shard'"))), LogFrequencyFilter(gather(masses))))
     taught = rows.where(~F.col("held")).count()
 
     def score(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame(columns=["id", "held", "n_tokens", "n_known", "base", "score"])
-        bigrams, left = (LogFrequencyFilter(s) for s in shared.value)
+        bigrams, left = shared.value
         tokens, first = bucket_tokens(pdf["t"].tolist(), Powers())
         words, back = np.unique(tokens, return_inverse=True)
         order, cuts = by_part(words, shard_of(words, parts))
@@ -244,16 +245,20 @@ def score_documents(
             counts[order[a:b]] = unpack_planes(answers[p], np.uint64).astype(np.int64)
         c = counts[back]
         base = (c + 0.5) / (total + 0.5 * (distinct + 1))
-        keys, context = bigram_keys(tokens, first)
-        around = np.empty_like(c)
-        around[1:] = c[:-1]
-        around[first[:-1]] = taught
-        seen = np.flatnonzero(around > 1)
-        above = around[seen].astype(np.float64)
-        mass = np.minimum(left.counts(context[seen] & ~np.uint64(0xFFFFFFFF) | _CONTEXT >> np.uint64(32)) / above, 1 - 1e-3)
-        share = np.where(c[seen] > 1, np.minimum(np.maximum(bigrams.counts(keys[seen]) - discount, 0) / above, mass), 0.0)
-        p = base.copy()
-        p[seen] = share + (1 - mass) * base[seen]
+        # what each context has given to its bigrams, as a share of its count; the start's is the last
+        own = np.append(words, START)
+        above = np.append(counts, taught)
+        given = np.zeros(len(own))
+        able = np.flatnonzero(above > 1)
+        given[able] = np.minimum(left.counts(own[able] & ~np.uint64(0xFFFFFFFF) | _CONTEXT >> np.uint64(32)) / above[able], 1 - 1e-3)
+        around = np.empty_like(back)
+        around[1:] = back[:-1]
+        around[first[:-1]] = len(words)
+        p = (1 - given[around]) * base
+        seen = np.flatnonzero((c > 1) & (given[around] > 0))
+        keys, where = np.unique(own[around[seen]] & ~np.uint64(0xFFFFFFFF) | words[back[seen]] >> np.uint64(32), return_inverse=True)
+        share = np.maximum(bigrams.counts(keys) - discount, 0)[where] / above[around[seen]]
+        p[seen] += np.minimum(share, given[around[seen]])
         n = np.diff(first)
         known = np.add.reduceat((c > 0).astype(np.int64), first[:-1])
         return pd.DataFrame({"id": pdf["id"], "held": pdf["held"], "n_tokens": n, "n_known": known, "base": np.add.reduceat(np.log10(base), first[:-1]), "score": np.add.reduceat(np.log10(p), first[:-1])})
