@@ -25,7 +25,7 @@ from .common import Scratch, blocks_of
 #: Groups in which pieces of one length are ranked; nodes and fillings that the search looks at.
 BUCKETS, NODES, FILLINGS = 64, 20_000, 24
 #: Most chunks whose ids a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -72,9 +72,12 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, text: str) -> bytes:
-        """Ids of a text that the pattern before the merges leaves whole."""
-        text = text.encode().decode("latin-1").translate(self.letters)
+    def word(self, lead: str, text: str) -> bytes:
+        """Ids of letters or of a mark, which the pattern before the merges leaves whole."""
+        if text.isascii():
+            text = (self.letters[32] if lead else "") + text
+        else:
+            text = (lead + text).encode().decode("latin-1").translate(self.letters)
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(text)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -101,14 +104,15 @@ class _Chunks(dict):
         self.encoder, self.lead = encoder, lead
 
     def __missing__(self, x: str) -> bytes:
+        e = self.encoder
+        if x.isalpha():
+            self[x] = ids = e.word(self.lead, x)
+            return ids
         if not x or x[0].isspace() or x[-1].isspace():
             raise _Odd
-        e = self.encoder
         a, line, b = x.partition("\n")
-        if x.isalpha():
-            ids = e.word(self.lead + x)
-        elif x[-1] in ".," and x[:-1].isalpha():
-            ids = self[x[:-1]] + e.word(x[-1])
+        if x[-1] in ".," and x[:-1].isalpha():
+            ids = self[x[:-1]] + e.word("", x[-1])
         elif line and not a[-1].isspace() and not b[0].isspace():
             ids = self[a] + e.line + e.known[0][b]
         else:
