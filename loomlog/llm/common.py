@@ -160,7 +160,7 @@ def in_blocks(rows: DataFrame, sizes: DataFrame, key: str, member: str, block: i
     """rows of the keys in sizes (key, n), dealt into pairs of blocks of about `block` members:
     every two members of a key meet in one (key, bi, bj), none of which outgrows two blocks."""
     nb = F.ceil(F.col("n") / F.lit(float(block))).cast("int")
-    x = rows.join(sizes.select(key, "n"), key).withColumn("_nb", nb)
+    x = rows.join(checked(sizes.select(key, "n")), key).withColumn("_nb", nb)
     x = x.withColumn("_b", F.pmod(F.xxhash64(F.lit(7), F.col(member)), F.col("_nb")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
     x = x.withColumn("_o", other)
