@@ -98,3 +98,21 @@ def digests(turns: DataFrame, *, id_col: str = "conv_id") -> DataFrame:
         id_col, F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars",
     )
+
+
+#: DuckDB SQL of digests() over conversations and the conversation -1.
+SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), t AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) IS NOT DISTINCT FROM role AS merged,
+    length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:\||/?s>|/?INST\])')) AS n, length(role) + len(regexp_extract_all(role, '[<\[]\\*(?:\||/?s>|/?INST\])')) AS m
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n + CASE WHEN merged THEN 8 ELSE 8 + m + 8 + 7 END) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""

@@ -160,3 +160,19 @@ def embedding_links(
     out = rows.join(named, "c", "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+
+
+#: DuckDB SQL of embedding_links() over embeddings: every pair of one label compared.
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, m AS component_id, vec_id = m AS kept
+FROM embeddings JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) AS r ON vec_id = r.a LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) AS l ON vec_id = l.a
+"""

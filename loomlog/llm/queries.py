@@ -67,4 +67,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_html_extraction, op3_suffix_dedup, op4_decontamination, op5_chat_formatting, op6_lm_scoring, op7_quality_classifier, op8_simhash_dedup, op9_language_id, op10_best_fit_packing)}
 
-SQL: dict[str, str] = {"op4_decontamination": decontaminate.SQL}
+SQL: dict[str, str] = {"op1_embedding_dedup": embedding.SQL, "op3_suffix_dedup": suffix.SQL, "op4_decontamination": decontaminate.SQL, "op5_chat_formatting": chat.SQL}

@@ -423,3 +423,25 @@ def brute_force(docs: list[tuple[int, bytes]], width: int = 100) -> dict[int, tu
             p = q
         out[i] = (runs, hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest())
     return out
+
+
+#: DuckDB SQL of digests() over documents.
+SQL = """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, p, md5(array_slice(b, p + 1, p + 100)) AS k FROM d, unnest(range(0, n - 99)) AS u(p)
+), late AS (
+  SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS r FROM w) WHERE r > 1
+), mark AS (
+  SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM late
+), run AS (
+  SELECT doc_id, min(p) AS a, max(p) + 100 AS z FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS g FROM mark) GROUP BY doc_id, g
+), edge AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM run
+  UNION ALL SELECT doc_id, coalesce(z, 0), n FROM d LEFT JOIN (SELECT doc_id, max(z) AS z FROM run GROUP BY doc_id) USING (doc_id)
+), kept AS (
+  SELECT doc_id, string_agg(CASE WHEN y > x THEN hex(array_slice(b, x + 1, y)) ELSE '' END, '' ORDER BY x, y) AS h, count(*) - 1 AS n_spans FROM edge JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n - length(h) // 2 AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(h)) AS kept_sha256 FROM d JOIN kept USING (doc_id)
+"""
