@@ -158,14 +158,14 @@ def readiness_scan(spark, d):
     return state.ready(found, known, 3600).select(F.col("path").alias("user_id"), "size_bytes", "last_offset", "idle_seconds")
 
 
-@query(f"""SELECT coalesce(n.user_id, o.user_id) AS user_id, coalesce(nullif(nullif(n.label, 'view'), ''), nullif(o.label, 'view'), '') AS label, greatest(o.size_bytes, n.size_bytes) AS size_bytes, coalesce(n.last_ts, o.last_ts) AS last_ts
+@query(f"""SELECT coalesce(n.user_id, o.user_id) AS user_id, coalesce(nullif(nullif(n.label, 'view'), ''), nullif(o.label, 'view'), '') AS label, greatest(o.size_bytes, n.size_bytes) AS size_bytes, strftime(coalesce(n.last_ts, o.last_ts), '%Y-%m-%d %H:%M:%S') AS last_ts
   FROM ({_SNAP.format('<')}) AS o FULL JOIN ({_SNAP.format('>=')}) AS n ON o.user_id = n.user_id""")
 def state_upsert(spark, d):
     def blank(df):
         return df.withColumn("label", F.when(F.col("label") == "view", "").otherwise(F.col("label")))
 
     out = state.upsert(blank(_snapshot(spark, d, True)), blank(_snapshot(spark, d, False)), "user_id", ["label"], ["size_bytes"])
-    return out.select("user_id", F.coalesce("label", F.lit("")).alias("label"), "size_bytes", "last_ts")
+    return out.select("user_id", F.coalesce("label", F.lit("")).alias("label"), "size_bytes", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("last_ts"))
 
 
 @query("SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-16')")
@@ -204,9 +204,9 @@ def first_per_key(spark, d):
     return changelog.first_wins(t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
 
 
-@query("SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) >= 2")
+@query("SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) >= 2")
 def multi_block(spark, d):
-    return changelog.repeated(t(spark, d, "orders").withColumn("day", F.to_date("o_orderdate")), ["o_custkey", "day"])
+    return changelog.repeated(t(spark, d, "orders").withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd")), ["o_custkey", "day"])
 
 
 @query("""SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'missing' WHEN a.o_orderkey IS NULL THEN 'stale' ELSE 'changed' END AS status, CASE WHEN a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL THEN 'total' ELSE '' END AS fields
