@@ -160,3 +160,19 @@ def inactive_sessions(df: DataFrame, key: str, ts: str, order: list[str], gap_se
 
 def count_dispositions(df: DataFrame, session: str, kinds: list[str], col: str = "disposition") -> DataFrame:
     return df.groupBy(session).agg(F.count(F.lit(1)).alias("records"), *[F.count_if(F.col(col) == k).alias(f"n_{k}") for k in kinds])
+
+
+def session_document(keys: DataFrame, key: str, parts: dict[str, DataFrame]) -> DataFrame:
+    """Each key with its rows of every part, as arrays of structs; an empty array where there are none."""
+    out = keys.select(key).distinct()
+    for name, df in parts.items():
+        rest = [c for c in df.columns if c != key]
+        own = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*rest))).alias(name))
+        out = out.join(own, key, "left").withColumn(name, F.coalesce(name, F.array().cast(own.schema[name].dataType)))
+    return out
+
+
+def commits(text: Column) -> Column:
+    """The one commit that a command's texts name, or `ambiguous` for several; null for none."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b[0-9a-f]{7,40}\b"), F.lit(0)))
+    return F.when(F.size(found) == 1, found[0]).when(F.size(found) > 1, "ambiguous")

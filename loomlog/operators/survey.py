@@ -41,3 +41,12 @@ def foreign_probe(claims: DataFrame, corpora: DataFrame, n: int, seed: str, grou
     pairs = nxt.join(drawn, "other").select("session_id", "claim").join(claims, ["session_id", "claim"], "left_anti")
     x = pairs.join(corpora, "session_id").withColumn("hit", grounded(F.col("claim"), F.col("corpus")))
     return x.groupBy("session_id").agg(F.count(F.lit(1)).alias("asked"), F.count_if("hit").alias("grounded"))
+
+
+def trim_probe(spans: DataFrame, lengths: tuple[int, ...] = (0, 3, 4, 5, 6, 8, 10, 12)) -> DataFrame:
+    """How many spans (span, corpus) would be grounded without the signs around them, for each least
+    length of what is left."""
+    bare = F.regexp_replace("span", r"^[\p{Punct}\s]+|[\p{Punct}\s]+$", "")
+    x = spans.withColumn("bare", bare).withColumn("least", F.explode(F.array(*map(F.lit, lengths))))
+    hit = (F.length("bare") >= F.col("least")) & (F.col("bare") != "") & F.contains("corpus", F.col("bare"))
+    return x.groupBy("least").agg(F.count(F.lit(1)).alias("spans"), F.count_if(hit).alias("grounded"))

@@ -81,3 +81,19 @@ def breaches(rate: Column, previous_rate: Column, floor: float, drop: float) ->
 def corrupt(bad: Column, total: Column) -> Column:
     """More than one bad line and more than one in a hundred."""
     return (bad > 1) & (bad * 100 > total)
+
+
+def sweep_totals(df: DataFrame, flags: list[str], sums: list[str], passed: str, value: str) -> DataFrame:
+    """One row of a sweep: how many sessions, how many have each flag, sums, the pass rate and the
+    mean; the last two are null where nothing was graded."""
+    return df.agg(F.count(F.lit(1)).alias("sessions"), *[F.count_if(F.coalesce(F.col(f), F.lit(False))).alias(f) for f in flags], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums], *pass_stats(F.col(passed), F.col(value)))
+
+
+def findings_by(df: DataFrame, key: str, cols: list[str], keep: int = 20) -> DataFrame:
+    """Counts of a record's findings by each column, as maps, and its first claims in order."""
+    out = None
+    for c in cols:
+        m = df.groupBy(key, c).agg(F.count(F.lit(1)).alias("n")).groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(c, "n")))).alias(f"by_{c}"))
+        out = m if out is None else out.join(m, key)
+    top = df.groupBy(key).agg(F.slice(F.array_sort(F.collect_set("claim")), 1, keep).alias("claims"))
+    return out.join(top, key)

@@ -482,6 +482,30 @@ def current_blocks(spark, d):
     return n.join(now, "session_id").join(part, "session_id", "left_semi").select(F.col("session_id").alias("p_partkey"), "n", "returned")
 
 
+@query("""SELECT count(*) AS sessions, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'signup') AS fresh, sum(user_id)::BIGINT AS user_id, count(*) AS graded, count(*) FILTER (event_type <> 'error') AS passed,
+  round_even(count(*) FILTER (event_type <> 'error') / count(*), 4) AS rate, round_even(avg(value), 4) AS mean_value FROM events""")
+def sweep_totals(spark, d):
+    e = t(spark, d, "events").withColumn("failed", F.col("event_type") == "error").withColumn("fresh", F.col("event_type") == "signup").withColumn("ok", ~F.col("failed"))
+    return trend.sweep_totals(e, ["failed", "fresh"], ["user_id"], "ok", "value")
+
+
+@query("""SELECT c_custkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n_orders, coalesce((SELECT max(o_orderkey) FROM orders WHERE o_custkey = c_custkey), -1) AS last_order,
+  (SELECT count(*) FROM nation WHERE n_nationkey = c_nationkey) AS n_nations FROM customer""")
+def session_document(spark, d):
+    c = t(spark, d, "customer").select("c_custkey", "c_nationkey")
+    parts = {"orders": t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey"), "nations": c.join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_nationkey")}
+    x = sessions.session_document(c, "c_custkey", parts)
+    last = F.coalesce(F.try_element_at("orders", F.lit(-1))["o_orderkey"], F.lit(-1))
+    return x.select("c_custkey", F.size("orders").cast("long").alias("n_orders"), last.cast("long").alias("last_order"), F.size("nations").cast("long").alias("n_nations"))
+
+
+@query("""SELECT least, count(*) AS spans, count(*) FILTER (length(bare) >= least AND bare <> '' AND contains(text, bare)) AS grounded FROM (SELECT text, trim(regexp_replace('«' || substr(text, 3, 12), '^[«. ]+|[. ]+$', '', 'g')) AS bare FROM conversations
+  WHERE regexp_full_match(substr(text, 3, 12), '[a-z ]+')), (SELECT unnest([0, 3, 4, 5, 6, 8, 10, 12]) AS least) GROUP BY least""")
+def span_trim_probe(spark, d):
+    x = t(spark, d, "conversations").where(F.substring("text", 3, 12).rlike("^[a-z ]+$")).select(F.concat(F.lit("«"), F.substring("text", 3, 12)).alias("span"), F.col("text").alias("corpus"))
+    return survey.trim_probe(x.withColumn("span", F.regexp_replace("span", "«", "."))).select("least", "spans", "grounded")
+
+
 @query()
 def stream_dedup(spark, d):
     """Events through a stream that keeps each id once, and its table read again."""
