@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _CODE, Scratch, mix64, text_bytes
+from .common import _CODE, Scratch, checked, mix64, text_bytes
 from .lm import by_part, pack_sorted, shard_of, unpack_sorted
 
 #: Bytes of an anchor's hash; MB of text in a bucket and bytes in a range partition; fewest of them.
@@ -241,7 +241,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     # exact copies: all but the smallest id go whole, and need no suffixes
     marks = rows.where(F.length("t") >= width).select("bucket", "id", F.sha2("t", 256).alias("sha"))
     least = marks.groupBy("sha").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = marks.join(least, "sha").where("id > least").select("bucket", "id").distinct()
+    least = scratch.write(least.select("sha", "least"), "least")
+    copies = marks.join(checked(least, 200_000), "sha").where("id > least").select("bucket", "id").distinct()
     copies = scratch.write(copies.groupBy("bucket").agg(F.collect_list("id").alias("ids")), "copies")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
