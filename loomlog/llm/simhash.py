@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for lo, hi in blocks_of(texts, 1 << 23):
+            for lo, hi in blocks_of(texts, 1 << 20):
                 each = [_shingle_hashes(t, width, seed) for t in texts[lo:hi]]
                 first = np.concatenate([[0], np.cumsum([len(x) for x in each])])
                 flat = np.fromiter((h for x in each for h in x), np.uint64, first[-1])
