@@ -5,9 +5,10 @@ with their counts in training documents, as packed sorted arrays to partitions o
 which add them up over the corpus. Word counts come back to the buckets that asked, in the order of
 the request, so that the unigram base is exact. Bigrams seen at least twice go into a filter that
 holds quantised log counts: a key of level j is entered j times, as (key, 1) to (key, j), and a
-lookup probes one level after another until one misses. The filter's size is bounded and it is
-broadcast; a bigram's probability is its discounted share of its context's count, plus the unigram
-base at the weight that the context has left."""
+lookup probes one level after another until one misses. Each partition has the filter of its own
+keys, as large as its entries ask, and answers the buckets' probes of them; nothing is broadcast. A
+bigram's probability is its discounted share of its context's count, plus the unigram base at the
+weight that the context has left."""
 
 from __future__ import annotations
 
@@ -23,8 +24,8 @@ from .common import Powers, Scratch, blocks_of, hash_words, mix64, text_bytes
 
 #: MB of text in a bucket; training tokens in a partition of the hash space; fewest of either.
 BUCKET_MB, PART_TOKENS, FEWEST = 8, 2_000_000, 48
-#: Bits for each entry of the filter, its hashes, the most bits it may have and the log base.
-BITS, HASHES, MOST_BITS, STEP = 20, 6, 1 << 31, 1.5
+#: Bits for each entry of the filter, its hashes and the log base.
+BITS, HASHES, STEP = 20, 6, 1.5
 DISCOUNT = 0.75
 END, START = np.uint64(0x3C6EF372FE94F82B), np.uint64(0xA54FF53A5F1D36F1)
 _CONTEXT = np.uint64(0x510E527FADE682D1)
@@ -80,11 +81,13 @@ def _bits_of(keys: np.ndarray, level: int, bits: int | np.ndarray) -> Iterator[n
         h = h + step
 
 
-def build_shard(keys: np.ndarray, counts: np.ndarray, shards: int) -> bytes:
-    """The bits of the keys' levels; BITS for each entry, up to the shard's part of MOST_BITS."""
+def build_shard(keys: np.ndarray, counts: np.ndarray, shards: int = 1) -> bytes:
+    """The bits of the keys' levels; BITS for each entry, however many shards there are."""
     level = level_of(counts)
-    bits = int(min(max(64, BITS * int(level.sum())), MOST_BITS // shards, 1 << 32))
+    bits = max(64, BITS * int(level.sum()))
     bits += -bits % 8
+    if bits > 1 << 32:  # partitions grow in number, not in size
+        raise ValueError("a shard's hashes address 2^32 bits")
     table = np.zeros(bits // 8, np.uint8)
     for j in range(1, int(level.max(initial=0)) + 1):
         for at in _bits_of(keys[level >= j], j, np.uint64(bits)):
@@ -100,7 +103,7 @@ class LogFrequencyFilter:
         self.first, self.bits = np.cumsum(size) - size, (size * 8).astype(np.uint64)
         self.table = np.frombuffer(b"".join(shards), np.uint8)
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
+    def levels(self, keys: np.ndarray) -> np.ndarray:
         level = np.zeros(len(keys), np.int64)
         left, j = np.arange(len(keys)), 1
         shard = shard_of(keys, len(self.bits))
@@ -118,13 +121,22 @@ class LogFrequencyFilter:
                 h = h + step
             level[left] = j
             j += 1
-        return count_of(level)
+        return level
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        return count_of(self.levels(keys))
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((mix64(keys) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def context_keys(x: np.ndarray) -> np.ndarray:
+    """Keys of the contexts that words or bigram keys begin with; a word's counts and its mass as a
+    context meet in the partition of this key."""
+    return x & ~np.uint64(0xFFFFFFFF) | _CONTEXT >> np.uint64(32)
+
+
 # --------------------------------------------------------------------------- buckets
 
 
@@ -156,8 +168,7 @@ def score_documents(
     an empty vocabulary. An empty table gives no rows; other columns are ignored.
 
     Words and bigrams are known by 64-bit hashes. The model's bigrams are those seen twice or more
-    in training; their filter has BITS for each entry up to MOST_BITS in all, beyond which no entry
-    is left out but false positives grow."""
+    in training; their filter has BITS for each entry at any size. Contexts' masses are exact."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     held = F.coalesce(held_out, F.lit(False))
@@ -171,12 +182,13 @@ def score_documents(
         texts, train = pdf["t"].tolist(), ~pdf["held"].to_numpy(bool)
         tokens, first = bucket_tokens(texts, Powers())
         taught = np.repeat(train, np.diff(first))
-        words, back = np.unique(tokens, return_inverse=True)
-        counts = np.bincount(back[taught], minlength=len(words)).astype(np.uint32)
-        keys, times = np.unique(bigram_keys(tokens, first)[0][taught], return_counts=True)
+        words, back = np.unique(np.append(tokens, START), return_inverse=True)
+        counts = np.bincount(back[:-1][taught], minlength=len(words)).astype(np.uint32)
+        keys, back = np.unique(bigram_keys(tokens, first)[0], return_inverse=True)
+        times = np.bincount(back[taught], minlength=len(keys)).astype(np.uint32)
         out = []
-        for kind, x, n in (("u", words, counts), ("b", keys, times.astype(np.uint32))):
-            order, cuts = by_part(x, shard_of(x, parts))
+        for kind, x, own, n in (("u", words, context_keys(words), counts), ("b", keys, keys, times)):
+            order, cuts = by_part(x, shard_of(own, parts))
             out += [(p, kind, int(pdf["bucket"].iloc[0]), pack_sorted(x[order[a:b]]), pack_planes(n[order[a:b]])) for p, a, b in cuts]
         return pd.DataFrame(out, columns=["p", "kind", "bucket", "a", "b"])
 
@@ -185,30 +197,26 @@ def score_documents(
         for kind, own in pdf.groupby("kind"):
             keys = [unpack_sorted(a) for a in own["a"]]
             counts = np.concatenate([unpack_planes(b, np.uint32) for b in own["b"]]).astype(np.int64)
+            distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.bincount(back, counts, len(distinct)).astype(np.int64)
             if kind == "u":
-                distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-                total = np.bincount(back, counts, len(distinct)).astype(np.int64)
                 out.append(("stats", p, -1, b"", int(total.sum()), int((total > 0).sum())))
-                at = 0
-                for bucket, k in zip(own["bucket"], keys):
-                    answer = np.minimum(total[back[at : at + len(k)]], (1 << 40) - 1).astype(np.uint64)
-                    out.append(("counts", p, int(bucket), pack_planes(answer), 0, 0))
-                    at += len(k)
+                out += [("asked", p, int(bucket), a, 0, 0) for bucket, a in zip(own["bucket"], own["a"])]
+                answer = np.minimum(total, (1 << 40) - 1).astype(np.uint64)
             else:
-                keys = np.concatenate(keys)
-                order = np.argsort(keys, kind="stable")
-                keys, counts = keys[order], counts[order]
-                cut = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
-                keys, total = keys[cut], np.add.reduceat(counts, cut)
-                keys, total = keys[total > 1], total[total > 1]
-                out.append(("shard", p, -1, build_shard(keys, total, 2 * parts) if len(keys) else b"", 0, 0))
-                context = keys & ~np.uint64(0xFFFFFFFF)
-                cut = np.flatnonzero(np.diff(context, prepend=~context[:1])) if len(keys) else np.zeros(0, np.int64)
+                entered = total > 1
+                held, total = distinct[entered], total[entered]
+                answer = LogFrequencyFilter([build_shard(held, total)]).levels(distinct).astype(np.uint8)
+                context = context_keys(held)
+                cut = np.flatnonzero(np.diff(context, prepend=~context[:1])) if len(held) else np.zeros(0, np.int64)
                 if len(cut):
                     mass = np.add.reduceat(total - discount, cut)
-                    own_keys = context[cut] | _CONTEXT >> np.uint64(32)
-                    order, cuts = by_part(own_keys, shard_of(own_keys, parts))
-                    out += [("mass", q, -1, pack_sorted(own_keys[order[a:b]]) + mass[order[a:b]].tobytes(), b - a, 0) for q, a, b in cuts]
+                    order, cuts = by_part(context[cut], shard_of(context[cut], parts))
+                    out += [("mass", q, -1, pack_sorted(context[cut][order[a:b]]) + mass[order[a:b]].tobytes(), b - a, 0) for q, a, b in cuts]
+            at = 0
+            for bucket, k in zip(own["bucket"], keys):
+                out.append(("counts" if kind == "u" else "levels", p, int(bucket), pack_planes(answer[back[at : at + len(k)]]), 0, 0))
+                at += len(k)
         return pd.DataFrame(out, columns=["kind", "p", "bucket", "a", "n", "m"])
 
     sent = rows.groupBy("bucket").applyInPandas(send, "p int, kind string, bucket int, a binary, b binary")
@@ -217,53 +225,55 @@ def score_documents(
     total, distinct = stats["n"] or 0, stats["v"] or 0
 
     def add_mass(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([unpack_sorted(a[: 8 * n]) for a, n in zip(pdf["a"], pdf["n"])])
-        mass = np.concatenate([np.frombuffer(a[8 * n :], np.float64) for a, n in zip(pdf["a"], pdf["n"])])
+        given, asked = pdf[pdf["kind"] == "mass"], pdf[pdf["kind"] == "asked"]
+        keys = np.concatenate([np.zeros(0, np.uint64), *[unpack_sorted(a[: 8 * n]) for a, n in zip(given["a"], given["n"])]])
+        mass = np.concatenate([np.zeros(0), *[np.frombuffer(a[8 * n :], np.float64) for a, n in zip(given["a"], given["n"])]])
         keys, back = np.unique(keys, return_inverse=True)
-        return pd.DataFrame({"p": [int(pdf["p"].iloc[0])], "a": [build_shard(keys, np.bincount(back, mass), 2 * parts)]})
-
-    masses = added.where("kind = 'mass'").select("p", "a", "n").groupBy("p").applyInPandas(add_mass, "p int, a binary")
-
-    def gather(found: DataFrame) -> list[bytes]:
-        """Shards in order, MOST_BITS / 2 together at most."""
-        have = {r["p"]: bytes(r["a"]) for r in found.select("p", "a").toLocalIterator()}
-        return [have.get(p, b"") for p in range(parts)]
-
-    shared = spark.sparkContext.broadcast((LogFrequencyFilter(gather(added.where("kind = 'shard'"))), LogFrequencyFilter(gather(masses))))
+        mass = np.append(np.bincount(back, mass, len(keys)), 0.0)
+        out = []
+        for bucket, a in zip(asked["bucket"], asked["a"]):
+            own = context_keys(unpack_sorted(a))
+            at = np.searchsorted(keys, own)
+            at[np.append(keys, np.uint64(0))[at] != own] = len(keys)
+            out.append(("masses", int(pdf["p"].iloc[0]), bucket, pack_planes(mass[at])))
+        return pd.DataFrame(out, columns=["kind", "p", "bucket", "a"])
+
+    masses = added.where("kind IN ('mass', 'asked')").select("kind", "p", "bucket", "a", "n").groupBy("p").applyInPandas(add_mass, "kind string, p int, bucket int, a binary")
     taught = rows.where(~F.col("held")).count()
 
     def score(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame(columns=["id", "held", "n_tokens", "n_known", "base", "score"])
-        bigrams, left = shared.value
         tokens, first = bucket_tokens(pdf["t"].tolist(), Powers())
-        words, back = np.unique(tokens, return_inverse=True)
-        order, cuts = by_part(words, shard_of(words, parts))
-        answers = dict(zip(found["p"], found["a"]))
-        counts = np.zeros(len(words), np.int64)
-        for p, a, b in cuts:
-            counts[order[a:b]] = unpack_planes(answers[p], np.uint64).astype(np.int64)
+        words, back = np.unique(np.append(tokens, START), return_inverse=True)
+        back, start = back[:-1], back[-1]
+        keys, where = np.unique(bigram_keys(tokens, first)[0], return_inverse=True)
+        answers = {(kind, p): a for kind, p, a in zip(found["kind"], found["p"], found["a"])}
+        counts, mass, level = np.zeros(len(words), np.int64), np.zeros(len(words)), np.zeros(len(keys), np.int64)
+        for into, name, own, kind in ((counts, "counts", context_keys(words), np.uint64), (mass, "masses", context_keys(words), np.float64), (level, "levels", keys, np.uint8)):
+            order, cuts = by_part(own, shard_of(own, parts))
+            for p, a, b in cuts:
+                into[order[a:b]] = unpack_planes(answers[name, p], kind)
         c = counts[back]
         base = (c + 0.5) / (total + 0.5 * (distinct + 1))
-        # what each context has given to its bigrams, as a share of its count; the start's is the last
-        own = np.append(words, START)
-        above = np.append(counts, taught)
-        given = np.zeros(len(own))
+        # what each context has given to its bigrams, as a share of its count
+        above = counts.copy()
+        above[start] = taught
+        given = np.zeros(len(words))
         able = np.flatnonzero(above > 1)
-        given[able] = np.minimum(left.counts(own[able] & ~np.uint64(0xFFFFFFFF) | _CONTEXT >> np.uint64(32)) / above[able], 1 - 1e-3)
+        given[able] = np.minimum(mass[able] / above[able], 1 - 1e-3)
         around = np.empty_like(back)
         around[1:] = back[:-1]
-        around[first[:-1]] = len(words)
+        around[first[:-1]] = start
         p = (1 - given[around]) * base
         seen = np.flatnonzero((c > 1) & (given[around] > 0))
-        keys, where = np.unique(own[around[seen]] & ~np.uint64(0xFFFFFFFF) | words[back[seen]] >> np.uint64(32), return_inverse=True)
-        share = np.maximum(bigrams.counts(keys) - discount, 0)[where] / above[around[seen]]
+        share = np.maximum(count_of(level) - discount, 0)[where[seen]] / above[around[seen]]
         p[seen] += np.minimum(share, given[around[seen]])
         n = np.diff(first)
         known = np.add.reduceat((c > 0).astype(np.int64), first[:-1])
         return pd.DataFrame({"id": pdf["id"], "held": pdf["held"], "n_tokens": n, "n_known": known, "base": np.add.reduceat(np.log10(base), first[:-1]), "score": np.add.reduceat(np.log10(p), first[:-1])})
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    asked = added.where("kind = 'counts'").select("bucket", "p", "a")
+    asked = added.where("kind IN ('counts', 'levels')").select("kind", "p", "bucket", "a").unionByName(masses)
     out = rows.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(score, f"id {id_type}, held boolean, n_tokens long, n_known long, base double, score double")
     return out.select(F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")

@@ -55,3 +55,11 @@ def test_packing_round_trips():
     x = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 999, dtype=np.uint64))
     assert (lm.unpack_sorted(lm.pack_sorted(x)) == x).all()
     assert (lm.unpack_planes(lm.pack_planes(x), np.uint64) == x).all()
+
+
+def test_filter_grows_with_its_entries():
+    keys = np.random.default_rng(3).integers(1, 1 << 62, 40000, dtype=np.uint64)
+    shards = 1 << 16  # as many as a corpus of 800 GB asks
+    f = lm.LogFrequencyFilter([lm.build_shard(keys[:20000], np.full(20000, 2), shards)])
+    assert 8 * len(f.table) >= lm.BITS * 20000
+    assert (f.counts(keys[:20000]) >= 2 / lm.STEP).all() and np.mean(f.counts(keys[20000:]) > 0) < 0.01
