@@ -3,7 +3,7 @@
 Documents fall into buckets of a few MB. A bucket sends its distinct word hashes and bigram keys,
 with their counts in training documents, as packed sorted arrays to partitions of the hash space,
 which add them up over the corpus. Word counts come back to the buckets that asked, in the order of
-the request, so that the unigram base is exact. Bigrams seen at least twice go into a filter that
+the request, so that the unigram base is exact. All bigrams seen in training go into a filter that
 holds quantised log counts: a key of level j is entered j times, as (key, 1) to (key, j), and a
 lookup probes one level after another until one misses. Each partition has the filter of its own
 keys, as large as its entries ask, and answers the buckets' probes of them; nothing is broadcast. A
@@ -167,8 +167,8 @@ def score_documents(
     Repeated rows are documents of their own. Without training tokens, base and score are those of
     an empty vocabulary. An empty table gives no rows; other columns are ignored.
 
-    Words and bigrams are known by 64-bit hashes. The model's bigrams are those seen twice or more
-    in training; their filter has BITS for each entry at any size. Contexts' masses are exact."""
+    Words and bigrams are known by 64-bit hashes. The model's bigrams are all those seen in
+    training; their filter has BITS for each entry at any size. Contexts' masses are exact."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     held = F.coalesce(held_out, F.lit(False))
@@ -204,7 +204,7 @@ def score_documents(
                 out += [("asked", p, int(bucket), a, 0, 0) for bucket, a in zip(own["bucket"], own["a"])]
                 answer = np.minimum(total, (1 << 40) - 1).astype(np.uint64)
             else:
-                entered = total > 1
+                entered = total > 0
                 held, total = distinct[entered], total[entered]
                 answer = LogFrequencyFilter([build_shard(held, total)]).levels(distinct).astype(np.uint8)
                 context = context_keys(held)
@@ -260,13 +260,13 @@ def score_documents(
         above = counts.copy()
         above[start] = taught
         given = np.zeros(len(words))
-        able = np.flatnonzero(above > 1)
+        able = np.flatnonzero(above > 0)
         given[able] = np.minimum(mass[able] / above[able], 1 - 1e-3)
         around = np.empty_like(back)
         around[1:] = back[:-1]
         around[first[:-1]] = start
         p = (1 - given[around]) * base
-        seen = np.flatnonzero((c > 1) & (given[around] > 0))
+        seen = np.flatnonzero((c > 0) & (given[around] > 0))
         share = np.maximum(count_of(level) - discount, 0)[where[seen]] / above[around[seen]]
         p[seen] += np.minimum(share, given[around[seen]])
         n = np.diff(first)

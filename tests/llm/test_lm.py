@@ -63,3 +63,27 @@ def test_filter_grows_with_its_entries():
     f = lm.LogFrequencyFilter([lm.build_shard(keys[:20000], np.full(20000, 2), shards)])
     assert 8 * len(f.table) >= lm.BITS * 20000
     assert (f.counts(keys[:20000]) >= 2 / lm.STEP).all() and np.mean(f.counts(keys[20000:]) > 0) < 0.01
+
+
+def test_bigrams_seen_once_count(documents):
+    rng = random.Random(8)
+    word = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(word) for _ in range(rng.randint(0, 30)))) for i in range(60)] + [(100, "rare words meet once"), (101, "rare words meet once"), (102, None)]
+    got = lm.score_documents(documents(rows), F.col("doc_id") % 3 == 2, bucket_mb=0.0001).collect()
+    taught = [[0, *tokens(x)] for i, x in rows if i % 3 != 2]
+    count = collections.Counter(t for own in taught for t in own)
+    pair = collections.Counter(p for own in taught for p in zip(own, own[1:]))
+    mass = collections.Counter()
+    for (a, _), n in pair.items():
+        mass[a] += n - lm.DISCOUNT
+    total, distinct = sum(count.values()) - count[0], len(count) - 1
+    assert 1 in pair.values() and len(got) == len(rows)
+    text = dict(rows)
+    for r in got:
+        own, want = [0, *tokens(text[r.doc_id])], 0
+        for a, t in zip(own, own[1:]):
+            given = min(mass[a] / count[a], 1 - 1e-3) if count[a] else 0
+            level = 1 + math.floor(math.log(pair[a, t]) / math.log(lm.STEP) + 1e-9) if pair[a, t] else 0
+            share = max(lm.STEP ** (level - 1) * (1 + lm.STEP) / 2 - lm.DISCOUNT, 0) / count[a] if level else 0
+            want += math.log10((1 - given) * (count[t] + 0.5) / (total + 0.5 * (distinct + 1)) + min(share, given))
+        assert math.isclose(r.score, want, rel_tol=1e-6)
