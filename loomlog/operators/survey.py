@@ -33,12 +33,22 @@ def field_survey(df: DataFrame, fields: list[str], floor: float) -> DataFrame:
 
 def foreign_probe(claims: DataFrame, corpora: DataFrame, n: int, seed: str, grounded) -> DataFrame:
     """How often claims sampled from other sessions are grounded in a session's text. claims:
-    (session_id, claim), corpora: (session_id, corpus); grounded(claim, corpus) -> Column. Each corpus
-    meets n claims, drawn through hash-neighbouring sessions, not all others."""
-    ring = corpora.select("session_id").withColumn("h", F.sha2(F.concat_ws("|", "session_id", F.lit(seed)), 256))
-    nxt = ring.withColumn("other", F.lead("session_id").over(Window.partitionBy(F.substring("h", 1, 2)).orderBy("h"))).where("other is not null")
-    drawn = sampled(claims, "session_id", "claim", seed, n).withColumnRenamed("session_id", "other")
-    pairs = nxt.join(drawn, "other").select("session_id", "claim").join(claims, ["session_id", "claim"], "left_anti")
+    (session_id, claim), corpora: (session_id, corpus); grounded(claim, corpus) -> Column. The pool is
+    the distinct claims of all sessions on a ring in the order of a digest; each corpus meets the
+    first n from its own hashed place on that are not its session's, or all others if they are fewer."""
+    ring = claims.select("claim").where("claim is not null").distinct().withColumn("h", F.sha2(F.concat_ws("|", "claim", F.lit(seed)), 256)).withColumn("part", F.substring("h", 1, 3))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over 4096 counts at most
+    parts = ring.groupBy("part").agg(F.count(F.lit(1)).alias("c")).withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    own_rank = F.row_number().over(Window.partitionBy("part").orderBy("h", "claim"))
+    ranked = ring.join(F.broadcast(parts), "part").select("claim", (F.col("before") + own_rank - 1).alias("rank"))
+    size = ring.agg(F.count(F.lit(1)).alias("size"))
+    own = claims.where("claim is not null").groupBy("session_id").agg(F.countDistinct("claim").alias("own"))
+    start = F.conv(F.substring(F.sha2(F.concat_ws("|", "session_id", F.lit(seed)), 256), 1, 15), 16, 10).cast("long") % F.col("size")
+    asks = corpora.select("session_id").distinct().join(own, "session_id", "left").join(F.broadcast(size)).where("size > 0")
+    steps = F.sequence(F.lit(0), F.least(F.coalesce("own", F.lit(0)) + n, F.col("size")).cast("int") - 1)
+    asks = asks.withColumn("start", start).withColumn("k", F.explode(steps)).withColumn("rank", (F.col("start") + F.col("k")) % F.col("size"))
+    pairs = asks.join(ranked, "rank").select("session_id", "claim", "k").join(claims, ["session_id", "claim"], "left_anti")
+    pairs = pairs.withColumn("_n", F.row_number().over(Window.partitionBy("session_id").orderBy("k"))).where(F.col("_n") <= n)
     x = pairs.join(corpora, "session_id").withColumn("hit", grounded(F.col("claim"), F.col("corpus")))
     return x.groupBy("session_id").agg(F.count(F.lit(1)).alias("asked"), F.count_if("hit").alias("grounded"))
 
