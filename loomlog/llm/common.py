@@ -3,35 +3,47 @@ batches, sorted-group iteration and connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 # --------------------------------------------------------------------------- scratch tables
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: spark.checkpoint.dir of the session, else the
-    context's checkpoint folder; only where neither is set (tests) a temporary one is made."""
+    context's checkpoint folder. Where neither is set, a temporary one is made if everything runs in
+    one process (tests); on a cluster that would be a folder of one machine, so it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         have = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = have.get() if have.isDefined() else None
     if not found:
+        if not spark.sparkContext._jsc.sc().isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="loomlog-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
 class Scratch:
-    """Tables of one operator run under the shared folder; drop() as soon as one has been used."""
+    """Tables of one operator run under the shared folder; drop() as soon as one has been used. What
+    a returned DataFrame still reads goes when the scratch_scope() around the operator ends."""
+
+    open_scopes: list[list[Scratch]] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        if self.open_scopes:
+            self.open_scopes[-1].append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -45,13 +57,40 @@ class Scratch:
             p.getFileSystem(conf).delete(p, True)
 
 
-#: A side of a join is broadcast up to so many rows of a few numbers (tens of MB), else shuffled.
-BROADCAST_ROWS = 500_000
-
-
-def checked(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The side of a join, which is a stored table of narrow rows, to be broadcast if it is small enough."""
-    return F.broadcast(side) if side.count() <= rows else side
+@contextlib.contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Drops the scratch tables of operators called inside, for callers that write results inside."""
+    Scratch.open_scopes.append([])
+    try:
+        yield
+    finally:
+        for scratch in Scratch.open_scopes.pop():
+            scratch.drop()
+
+
+#: A side of a join is broadcast up to so many rows and bytes, else shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
+
+
+def checked(side: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """The side of a join, which is a stored table, to be broadcast if it is small enough. Numbers
+    count 8 bytes, texts and arrays of texts their own, and each row 16 more."""
+    size = F.lit(16 + 8 * len(side.columns))
+    for f in side.schema:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(side[f.name]), F.lit(0))
+        elif isinstance(f.dataType, ArrayType):
+            own = F.octet_length(F.array_join(side[f.name], "")) if isinstance(f.dataType.elementType, StringType) else F.lit(0)
+            size = size + F.coalesce(own + 8 * F.size(side[f.name]), F.lit(0))
+    n, total = side.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    return F.broadcast(side) if n <= rows and (total or 0) <= most else side
+
+
+def tidy() -> None:
+    """Gives freed memory of a Python worker back, which allocators else keep until it ends."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def crc_mod(col, m: int):

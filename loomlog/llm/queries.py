@@ -41,7 +41,7 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return found.select("row.doc_id", "n_tokens", "perplexity", "threshold", "kept")
+    return found.select("row.doc_id", "n_tokens", "perplexity", "threshold", "contrast", "limit", "kept")
 
 
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
