@@ -2,9 +2,11 @@
 
 Lengths are whole numbers of at most `capacity`, so the histogram of piece lengths - at most that
 many counts, however large the corpus - is the whole packing problem. The driver solves it: around
-the largest piece left, undominated fillings are enumerated, applied as often as the counts allow,
-and pruned by the waste that a solution better than the incumbent may have; best-fit decreasing
-gives the first incumbent. Pieces then find their places by rank among those of their length."""
+the largest piece left, undominated fillings are enumerated, the least waste first, applied as often
+as the counts allow or less often, and pruned by the waste that a solution better than the incumbent
+may have; best-fit decreasing gives the first incumbent. The search skips no case: given nodes
+enough it ends with a proven optimum, and pack() says whether it did. Pieces then find their places
+by rank among those of their length."""
 
 from __future__ import annotations
 
@@ -13,7 +15,7 @@ import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,12 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, blocks_of
 
-#: Groups in which pieces of one length are ranked; nodes and fillings that the search looks at.
-BUCKETS, NODES, FILLINGS = 64, 20_000, 24
+#: Pieces of one length are ranked in groups of about GROUP, or a GROUPS-th of all if that is more.
+GROUP, GROUPS = 4096, 1 << 16
+#: Nodes of each of the two searches, and fillings they look at, unless the lower bound is met before.
+NODES = 8000
+#: Fillings that are looked at first, and branches that lead to them.
+LIKELY, TRIED = 24, 4
 #: Most chunks whose ids a worker remembers.
 REMEMBERED = 800_000
 
@@ -56,7 +62,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.known = (_Chunks(self, ""), _Chunks(self, " "))
         self.line = self.whole("\n")
@@ -87,6 +94,9 @@ class Encoder:
             rest.clear()
         out = []
         for text in texts:
+            if self.added and self.added.search(text):  # added tokens stand across chunks
+                out.append(self.whole(text))
+                continue
             head, *tail = text.split(" ")
             try:
                 ids = b"".join([first[head], *[rest[x] for x in tail]]) if text else b""
@@ -151,86 +161,165 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[Pattern, int]]:
     return [(p, m) for groups in room.values() for p, m in groups]
 
 
-def fillings(counts: np.ndarray, room: int, limit: int) -> list[tuple[int, Pattern]]:
-    """(waste, pattern) of maximal fillings of the room, the least waste and the fewest pieces
-    first; a filling none of whose pieces could be swapped for a longer one, without waste, is
-    dominated by no other. At most limit of them."""
-    sizes = np.flatnonzero(counts[: room + 1])[::-1]
-    found: list[tuple[int, Pattern]] = []
-    left = counts
-
-    def go(room: int, at: int, own: list[int]) -> bool:
-        fit = at + int(np.searchsorted(-sizes[at:], -room))
-        if fit >= len(sizes):
-            found.append((room, tuple((s, own.count(s)) for s in dict.fromkeys(own))))
-            return room == 0 and len(found) >= limit // 4 or len(found) >= limit
-        tried = 0
-        exact = room <= len(left) - 1 and left[room] - own.count(room) > 0
-        for k in range(fit, len(sizes)):
-            s = int(sizes[k])
-            if left[s] - own.count(s) <= 0:
-                continue
-            if go(room - s, k, [*own, s]):
+def _reachable(sizes: list[int], counts: list[int], room: int) -> list[int]:
+    """For each k, the sums up to room that sizes[k:] can make, as bits of a number; one more, of 0."""
+    full, out = (1 << (room + 1)) - 1, [1]
+    for s, n in zip(reversed(sizes), reversed(counts)):
+        bits, n, step = out[-1], min(n, room // s), 1
+        while n > 0:
+            take = min(step, n)
+            bits |= bits << take * s & full
+            n, step = n - take, 2 * step
+        out.append(bits)
+    return out[::-1]
+
+
+def _dominated(pattern: Pattern, waste: int, spare: np.ndarray) -> bool:
+    """Whether a piece that is left over could take the place of one or two smaller ones, or stand in
+    the waste: the filling that has it needs no more bins than this one. spare: how many are left."""
+    for s, n in pattern:
+        if spare[s + 1 : s + waste + 1].any():
+            return True
+        for t, _ in pattern:
+            if (t < s or t == s and n > 1) and spare[s + t : s + t + waste + 1].any():
                 return True
-            tried += 1
-            if exact or tried >= 4:  # a piece as long as the room dominates every other filling
-                break
-        else:
-            if not tried:
-                found.append((room, tuple((s, own.count(s)) for s in dict.fromkeys(own))))
-        return len(found) >= limit
-
-    go(room, 0, [])
-    return sorted(set(found), key=lambda x: (x[0], len(x[1])))
-
-
-def pack(counts: np.ndarray, capacity: int, nodes: int = NODES) -> tuple[list[tuple[Pattern, int]], int]:
-    """Patterns that hold the histogram's pieces (counts[length]) and the lower bound of bins."""
+    return bool(spare[1 : waste + 1].any())
+
+
+def fillings(counts: np.ndarray, room: int, allowed: int, steps: list[int]) -> Iterator[tuple[int, Pattern]]:
+    """(waste, pattern) of all undominated fillings of the room that waste no more than allowed, the
+    least waste first and longer pieces first, one at a time. steps: how many fillings the search may
+    still look at, counted down; nothing more comes at 0."""
+    sizes = [int(s) for s in np.flatnonzero(counts[: room + 1])[::-1] if s]
+    have = [int(counts[s]) for s in sizes]
+    reach = _reachable(sizes, have, room)
+
+    def go(k: int, left: int, own: Pattern) -> Iterator[Pattern]:
+        if not left:
+            yield own
+            return
+        while k < len(sizes) and sizes[k] > left:
+            k += 1
+        if not reach[k] >> left & 1:
+            return
+        for n in range(min(have[k], left // sizes[k]), -1, -1):
+            if reach[k + 1] >> left - n * sizes[k] & 1:
+                yield from go(k + 1, left - n * sizes[k], (*own, (sizes[k], n)) if n else own)
+
+    spare = counts[: 2 * room + 2].copy()
+    spare[room + 1 :] = 0  # longer ones don't fit
+    for waste in range(min(room, allowed) + 1):
+        for pattern in go(0, room - waste, ()):
+            steps[0] -= 1
+            if steps[0] <= 0:
+                return
+            for s, n in pattern:
+                spare[s] -= n
+            gone = _dominated(pattern, waste, spare)
+            for s, n in pattern:
+                spare[s] += n
+            if not gone:
+                yield waste, pattern
+
+
+def likely_fillings(counts: np.ndarray, room: int, allowed: int, steps: list[int]) -> Iterator[tuple[int, Pattern]]:
+    """The same in another order: first a few fillings with the longest pieces by the least waste and
+    the fewest pieces, then all others."""
+    sizes = [int(s) for s in np.flatnonzero(counts[: room + 1])[::-1] if s]
+    found: set[tuple[int, Pattern]] = set()
+
+    def go(k: int, left: int, own: dict[int, int]) -> None:
+        tried = 0
+        while k < len(sizes) and tried < TRIED and len(found) < LIKELY:
+            s = sizes[k]
+            if s <= left and counts[s] > own.get(s, 0):
+                go(k, left - s, own | {s: own.get(s, 0) + 1})
+                tried += 1
+            k += 1
+        if not tried and own:
+            found.add((left, tuple(own.items())))
+
+    go(0, room, {})
+    first = sorted((x for x in found if x[0] <= allowed), key=lambda x: (x[0], sum(n for _, n in x[1])))
+    yield from first
+    yield from (x for x in fillings(counts, room, allowed, steps) if x not in found)
+
+
+def lower_bound(counts: np.ndarray, capacity: int) -> int:
+    """The largest over all k of: bins of pieces longer than half the capacity, and of what the pieces
+    from k on up to half of it need beyond the room that those leave (Martello and Toth, 1990)."""
+    counts = np.asarray(counts, np.int64)
+    size = np.arange(len(counts))
+    n, total = np.cumsum(counts[::-1])[::-1], np.cumsum((counts * size)[::-1])[::-1]
+    n, total = np.append(n, [0, 0]), np.append(total, [0, 0])
+    half, best = capacity // 2, 0
+    for k in range(1, half + 1):  # pieces over capacity - k stand alone, for those from k on
+        big, middle = int(n[capacity - k + 1]), int(n[half + 1] - n[capacity - k + 1])
+        room = middle * capacity - int(total[half + 1] - total[capacity - k + 1])
+        small = int(total[k] - total[half + 1])
+        best = max(best, big + middle + max(0, -(-(small - room) // capacity)))
+    return max(best, -(-int((counts * size).sum()) // capacity))
+
+
+def pack(counts: np.ndarray, capacity: int, nodes: int = NODES) -> tuple[list[tuple[Pattern, int]], int, bool]:
+    """Patterns that hold the histogram's pieces (counts[length]), the lower bound of bins, and
+    whether no packing needs fewer: the bound is met, or a search has ended. Two searches go through
+    the same tree in different orders, the second one from the first one's result."""
     counts = np.asarray(counts, np.int64)
-    total = int((counts * np.arange(len(counts))).sum())
-    bound = -(-total // capacity)
-    best = best_fit(counts, capacity)
-    bins = sum(m for _, m in best)
-    stack: list[tuple[np.ndarray, int, int, Iterator]] = []
+    counts = np.pad(counts, (0, max(0, capacity + 1 - len(counts))))
+    bound = lower_bound(counts, capacity)
+    best, proven = best_fit(counts, capacity), False
+    for order in (likely_fillings, fillings):
+        if not proven and sum(m for _, m in best) > bound:
+            best, proven = _search(counts, capacity, best, bound, order, nodes)
+    return best, bound, proven or sum(m for _, m in best) == bound
+
+
+def _search(counts: np.ndarray, capacity: int, best: list[tuple[Pattern, int]], bound: int, order: Callable, nodes: int) -> tuple[list[tuple[Pattern, int]], bool]:
+    """Branch and bound from an incumbent: the best packing found, and whether the tree has ended."""
+    total, bins = int((counts * np.arange(len(counts))).sum()), sum(m for _, m in best)
     chosen: list[tuple[Pattern, int]] = []
+    steps = [20 * nodes]
 
-    def options(c: np.ndarray, waste: int) -> Iterator[tuple[np.ndarray, int, Pattern, int]]:
+    def options(c: np.ndarray, used: int, waste: int) -> Iterator[tuple[np.ndarray, int, int, Pattern, int]]:
+        """What may stand around the largest piece left, and what is left then."""
         size = int(np.flatnonzero(c)[-1])
         c = c.copy()
         c[size] -= 1
-        for spare, rest in fillings(c, capacity - size, FILLINGS):
+        for spare, rest in order(c, capacity - size, (bins - 1) * capacity - total - waste, steps):
             copies = dict(rest)
             copies[size] = copies.get(size, 0) + 1
             times = min(int(c[s] + (s == size)) // k for s, k in copies.items())
-            allowed = (bins - 1) * capacity - total - waste
-            if spare > allowed:
-                return
-            times = min(times, allowed // spare) if spare else times
-            new = c.copy()
-            new[size] += 1
-            for s, k in copies.items():
-                new[s] -= times * k
-            yield new, waste + spare * times, tuple(sorted(copies.items(), reverse=True)), times
-
-    if bins > bound and total:
-        stack.append((counts, 0, 0, options(counts, 0)))
-    while stack and bins > bound and nodes:
+            for n in range(times, 0, -1):
+                if used + n >= bins or waste + n * spare > (bins - 1) * capacity - total:
+                    continue
+                new = c.copy()
+                new[size] += 1
+                for s, k in copies.items():
+                    new[s] -= n * k
+                yield new, used + n, waste + n * spare, tuple(sorted(copies.items(), reverse=True)), n
+
+    stack = [options(counts, 0, 0)]
+    while stack and bins > bound:
         nodes -= 1
-        step = next(stack[-1][3], None)
+        if nodes <= 0 or steps[0] <= 0:
+            return best, False
+        step = next(stack[-1], None)
         if step is None:
+            if steps[0] <= 0:
+                return best, False
             stack.pop()
             if chosen:
                 chosen.pop()
             continue
-        left, waste, pattern, times = step
+        left, used, waste, pattern, times = step
         chosen.append((pattern, times))
-        if not left.any():
-            if (now := sum(m for _, m in chosen)) < bins:
-                best, bins = list(chosen), now
-            chosen.pop()
+        if left.any():
+            stack.append(options(left, used, waste))
         else:
-            stack.append((left, waste, 0, options(left, waste)))
-    return best, bound
+            best, bins = list(chosen), used
+            chosen.pop()
+    return best, True
 
 
 def places(solution: list[tuple[Pattern, int]]) -> np.ndarray:
@@ -277,25 +366,34 @@ def pack_documents(
 ) -> DataFrame:
     """One row for each piece: id_col, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A null or empty text is one piece, the end id alone. Repeated rows are documents of their own.
-    An empty table gives no rows; other columns are ignored. Sequences are filled from offset 0
-    without gaps."""
+    A null or empty text is one piece, the end id alone; texts are tokenised whole, however long.
+    Repeated rows are documents of their own, and so are rows that share an id. Strings of added
+    tokens in a text become those tokens, as the tokenizer does it. An empty table gives no rows;
+    other columns are ignored, whatever their names. Sequences are filled from offset 0 without
+    gaps. If the search ends before its nodes or at the lower bound, no packing has fewer sequences;
+    packing_report() says whether it did."""
     scratch = Scratch(docs.sparkSession, "packing")
     pieces = scratch.write(tokenised_pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id), "pieces")
-    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
-    shape = np.zeros((capacity + 1, BUCKETS), np.int64)
-    for r in pieces.groupBy("length", "bucket").count().collect():  # capacity * BUCKETS rows at most
-        shape[r["length"], r["bucket"]] = r["count"]
-    before = np.cumsum(shape, axis=1) - shape
-    at = places(pack(shape.sum(1), capacity, nodes)[0])
+    counts = histogram(pieces, capacity)
+    at = places(pack(counts, capacity, nodes)[0])
     key = at[:, 0] << 40 | at[:, 1]  # ranks within a length stay under 2**40
+    # as many groups for a length as it has pieces for: capacity + GROUPS in all at most
+    groups = np.maximum(1, -(-counts // max(GROUP, -(-int(counts.sum()) // GROUPS))))
+    first = np.cumsum(groups) - groups
+    many = F.array(*[F.lit(int(g)) for g in groups])
+    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.element_at(many, F.col("length").cast("int") + 1)).cast("int"))
+    shape = np.zeros(int(groups.sum()), np.int64)
+    for r in pieces.groupBy("length", "bucket").count().collect():
+        shape[first[r["length"]] + r["bucket"]] = r["count"]
+    before = np.cumsum(shape) - shape
+    before -= np.repeat(before[first], groups)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             size, bucket, rank = (b.column(k).to_numpy() for k in (3, 5, 6))
-            rank = rank - 1 + before[size, bucket]
+            rank = rank - 1 + before[first[size] + bucket]
             own = at[np.searchsorted(key, size << 40 | rank, "right") - 1]
             rank = rank - own[:, 1]
             where = [pa.array(own[:, 3] + rank // own[:, 2]), pa.array(own[:, 4] + rank % own[:, 2] * size)]
@@ -307,3 +405,19 @@ def pack_documents(
         assign, f"id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
     return out.withColumnRenamed("id", id_col)
+
+
+def histogram(pieces: DataFrame, capacity: int) -> np.ndarray:
+    """How many pieces have each length: capacity + 1 counts at most come to the driver."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for r in pieces.groupBy("length").count().collect():
+        counts[r["length"]] = r["count"]
+    return counts
+
+
+def packing_report(pieces: DataFrame, capacity: int = 1024, nodes: int = NODES) -> dict[str, int | bool]:
+    """Sequences that best fit and the search need for a table of pieces with their lengths, the lower
+    bound, and whether the result is proven to be the least."""
+    counts = histogram(pieces, capacity)
+    best, bound, proven = pack(counts, capacity, nodes)
+    return {"best_fit": sum(m for _, m in best_fit(counts, capacity)), "sequences": sum(m for _, m in best), "bound": bound, "proven": proven}
