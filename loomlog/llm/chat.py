@@ -36,7 +36,9 @@ def format_chats(
 
     Turns are in order of turn, then role, then text (a null turn comes first); repeated rows are
     turns of their own. A null text or role is empty. Rows with a null id make one conversation. An
-    empty table gives no rows; other columns are ignored."""
+    empty table gives no rows; other columns are ignored, whatever their names. A conversation is one
+    row, so its turns meet in one task: the method collects them, and its output is one text. Time
+    grows with the turns times their square root, and with the texts' length."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     role = F.coalesce(F.col(role_col).cast("string"), F.lit(""))
     rows = turns.select(F.col(id_col).alias("id"), F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text")).alias("x"))
@@ -60,22 +62,37 @@ def format_chats(
         return F.concat(texts, F.array(F.struct(F.lit(END).alias("mark"), F.lit("").alias("text"), F.lit(False).alias("loss"))))
 
     chats = chats.select("id", F.flatten(F.transform("blocks", pieces)).alias("pieces"))
+    sizes = F.transform("pieces", lambda p: (F.length(p["mark"]) + F.length(p["text"])).cast("long"))
+    chats = with_starts(chats.withColumn("sizes", sizes), "sizes", "starts")
     formatted = F.array_join(F.transform("pieces", lambda p: F.concat(p["mark"], p["text"])), "")
-    span = "struct<start:bigint,length:bigint>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{span}>").alias("out"))
+    each = F.zip_with("pieces", "starts", lambda p, at: F.struct((at + F.length(p["mark"])).alias("start"), F.length(p["text"]).cast("long").alias("length"), p["loss"].alias("loss")))
+    chats = chats.select("id", formatted.alias("formatted"), F.filter(each, lambda s: s["loss"]).alias("loss_spans"))
+    spans = F.transform("loss_spans", lambda s: F.struct(s["start"], s["length"]))
+    return chats.select(F.col("id").alias(id_col), "formatted", spans.cast("array<struct<start:bigint,length:bigint>>").alias("loss_spans"))
 
-    def grow(acc: Column, p: Column) -> Column:
-        begin, size = acc["at"] + F.length(p["mark"]), F.length(p["text"])
-        new = F.struct(begin.alias("start"), size.cast("long").alias("length"))
-        return F.struct((begin + size).alias("at"), F.when(p["loss"], F.array_append(acc["out"], new)).otherwise(acc["out"]).alias("out"))
 
-    spans = F.aggregate("pieces", start, grow, lambda acc: acc["out"])
-    return chats.select(F.col("id").alias(id_col), formatted.alias("formatted"), spans.alias("loss_spans"))
+def with_starts(df: DataFrame, sizes: str, out: str) -> DataFrame:
+    """Adds where each of an array of sizes begins if they stand one behind the other. Sums run within
+    chunks of about the root of the array's length and over the chunks, as appending to an array
+    copies it."""
+    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def grow(acc: Column, n: Column) -> Column:
+        return F.struct((acc["at"] + n).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
+
+    df = df.withColumn("_n", F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(sizes)))).cast("int"))
+    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(sizes) - 1) / F.col("_n")).cast("int"))), lambda k: F.slice(sizes, k * F.col("_n") + 1, F.col("_n")))
+    df = df.withColumn("_chunks", chunks)
+    df = df.withColumn("_sums", F.transform("_chunks", lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, n: a + n)))
+    df = df.withColumn("_at", F.aggregate("_sums", empty, grow, lambda acc: acc["out"]))
+    own = F.zip_with("_chunks", "_at", lambda c, at: F.transform(F.aggregate(c, empty, grow, lambda acc: acc["out"]), lambda k: k + at))
+    return df.withColumn(out, F.flatten(own)).drop("_n", "_chunks", "_sums", "_at")
 
 
 def read_back(formatted: DataFrame, *, id_col: str = "conv_id") -> DataFrame:
     """(id_col, turns array<struct<role, text>>, loss array<string>, formatted_chars) of format_chats' rows, taken
-    from the formatted string and the mask alone."""
+    from the formatted string and the mask alone. The string is cut before each control string; what
+    stands under the mask is each cut whose text begins where a span does, to the span's length."""
 
     def of_block(b: Column) -> Column:
         cut = F.instr(b, BODY)
@@ -85,8 +102,20 @@ def read_back(formatted: DataFrame, *, id_col: str = "conv_id") -> DataFrame:
 
     blocks = F.filter(F.split("formatted", r"<\|turn\|>", -1), lambda b: b != "")
     blocks = F.transform(blocks, lambda b: F.substring(b, F.lit(1), F.length(b) - len(END)))
-    loss = F.transform("loss_spans", lambda s: unescape(F.substring("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return formatted.select(id_col, F.flatten(F.transform(blocks, of_block)).alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    x = formatted.select(id_col, "formatted", "loss_spans", F.flatten(F.transform(blocks, of_block)).alias("turns"))
+    x = x.withColumn("cuts", F.split("formatted", r"(?=<\|(?:turn|body|also|end)\|>)", -1))
+    x = with_starts(x.withColumn("sizes", F.transform("cuts", lambda c: F.length(c).cast("long"))), "sizes", "starts")
+    # spans by chunks of the string's length, so that a cut meets few of them
+    x = x.withColumn("_w", F.greatest(F.lit(1), F.ceil(F.length("formatted") / F.sqrt(F.size("cuts")))).cast("long"))
+    x = x.withColumn("_of", F.transform(F.sequence(F.lit(0), F.floor(F.length("formatted") / F.col("_w")).cast("int")), lambda k: F.filter("loss_spans", lambda s: F.floor(s["start"] / F.col("_w")) == k)))
+
+    def under(cut: Column, at: Column) -> Column:
+        begin = at + len(BODY)  # as long as ALSO
+        near = F.filter(F.get(F.col("_of"), F.floor(begin / F.col("_w")).cast("int")), lambda s: s["start"] == begin)
+        return F.when(F.size(near) > 0, unescape(F.substring(cut, F.lit(len(BODY) + 1), F.get(near, F.lit(0))["length"].cast("int"))))
+
+    loss = F.array_compact(F.zip_with("cuts", "starts", under))
+    return x.select(id_col, "turns", loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
 def digests(turns: DataFrame, *, id_col: str = "conv_id") -> DataFrame:

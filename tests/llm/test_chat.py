@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,3 +39,16 @@ def test_control_strings_are_escaped(spark):
 def test_repeated_rows_are_turns(spark):
     rows = [(1, 0, "assistant", "a", 0, 0)] * 3 + [(1, 0, "user", "b", 0, 0)]
     assert chat.digests(spark.createDataFrame(rows, SCHEMA)).first().n_turns == 4
+
+
+def test_long_conversations_and_texts(spark):
+    turns = [("user" if k % 3 == 0 else "assistant", f"t{k} <|end|> é") for k in range(60_000)]
+    rows = [(1, k, r, t, 0, 0) for k, (r, t) in enumerate(turns)] + [(2, 0, "assistant", "[INST]" * 300_000, 0, 0)]
+    rows += [(3, k, "assistant", "same", 0, 0) for k in range(20_000)]
+    began = time.time()
+    got = {r.conv_id: r for r in chat.digests(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert time.time() - began < 60
+    loss = "".join(t for r, t in turns if r == "assistant")
+    assert (got[1].n_turns, got[1].loss_chars, got[1].loss_sha256) == (60_000, len(loss), sha(loss))
+    assert got[1].turns_sha256 == sha("".join(f"{r}\n{t}\n" for r, t in turns))
+    assert got[2].loss_sha256 == sha("[INST]" * 300_000) and got[3].loss_sha256 == sha("same" * 20_000)
