@@ -4,10 +4,11 @@ Every window of `width` bytes has an anchor, the position of its smallest 32-byt
 depends on the window's bytes alone; equal windows have equal anchors at equal places. Windows of
 one anchor form a suffix record: the text from the anchor on (its leading tokens first), then the
 text before it. Only suffixes whose anchor hash occurs more than once in the corpus can repeat.
-Splitters sampled from these range-partition them by text, document and position; each partition is
-sorted by multikey quicksort on eight-byte words, equal neighbours are repeats of their first, and
-anchors whose suffixes differ are compared window by window. A group that reaches a partition's
-border sends the first of each of its windows to be compared across borders."""
+Splitters sampled from these range-partition them by text, document and position, in two steps if
+one step would ask more splitters than a task should hold; each partition is sorted by multikey
+quicksort on eight-byte words, equal neighbours are repeats of their first, and anchors whose
+suffixes differ are compared window by window. A group that reaches a partition's border sends the
+first of each of its windows to be compared across borders."""
 
 from __future__ import annotations
 
@@ -21,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _CODE, Scratch, checked, mix64, text_bytes
+from .common import _CODE, Scratch, checked, mix64, text_bytes, tidy
 from .lm import by_part, pack_sorted, shard_of, unpack_sorted
 
 #: Bytes of an anchor's hash; MB of text in a bucket and bytes in a range partition; fewest of them.
 GRAM, BUCKET_MB, FEWEST = 32, 8, 48
-#: Splitters are drawn from about so many suffixes for each range partition.
-SAMPLED = 40
+#: Splitters are drawn from about so many suffixes for each range partition; ranges of one step.
+SAMPLED, RANGES = 40, 4096
+#: Rows up to which a segment is sorted by all its words at once instead of being parted further.
+SMALL = 256
 _STEP = 0x9E3779B97F4A7C15 | 1
 _PLACE = (1 << 26) - 1
 _SLICE = 1 << 20
@@ -91,24 +94,34 @@ def suffix_records(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray,
 
 def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows and the column at which each first differs from the row before it (the
-    number of columns where it doesn't): multikey quicksort, in which only rows that are still tied
-    are sorted by their next word."""
+    number of columns where it doesn't).
+
+    Multikey quicksort (Bentley and Sedgewick, 1997): a segment is parted in three by the median of
+    three of its words - smaller, equal, larger - and the equal ones go on with their next word.
+    Small segments are sorted by what is left of their words."""
     n, depth = words.shape
-    order = np.argsort(words[:, 0], kind="stable")
+    order = np.arange(n)
+    todo = [(0, n, 0)]
+    while todo:
+        lo, hi, d = todo.pop()
+        own = order[lo:hi]
+        if hi - lo < 2 or d == depth:
+            continue
+        if hi - lo <= SMALL:
+            order[lo:hi] = own[np.lexsort(words[own, d:].T[::-1])]
+            continue
+        x = words[own, d]
+        pivot = np.sort(x[[0, len(x) // 2, -1]])[1]
+        parts = [own[x < pivot], own[x == pivot], own[x > pivot]]
+        order[lo:hi] = np.concatenate(parts)
+        a, b = lo + len(parts[0]), hi - len(parts[2])
+        todo += [(lo, a, d), (a, b, d + 1), (b, hi, d)]
     head = np.full(n, depth)
-    head[1:][np.diff(words[order, 0]) != 0] = 0
     head[:1] = 0
-    for d in range(1, depth):
-        start = head < d
-        at = np.flatnonzero(~start | np.append(~start[1:], False))
-        if not len(at):
-            break
-        group = np.cumsum(start)[at]
-        own = words[order[at], d]
-        by = np.lexsort((own, group))
-        order[at], own = order[at][by], own[by]
-        new = (group[1:] == group[:-1]) & (own[1:] != own[:-1])
-        head[at[1:][new]] = d
+    for lo in range(1, n, 1 << 14):  # in blocks, as words may be many
+        at = order[lo - 1 : lo + (1 << 14)]
+        other = words[at[1:]] != words[at[:-1]]
+        head[lo : lo + len(other)] = np.where(other.any(1), other.argmax(1), depth)
     return order, head
 
 
@@ -139,30 +152,35 @@ def _width_hashes(buf: np.ndarray, width: int, code: np.ndarray) -> np.ndarray:
 _CODES = (_CODE, mix64(_CODE) | np.uint64(1))
 
 
-def _sooner(ids: np.ndarray, place: np.ndarray, tie: np.ndarray) -> np.ndarray:
-    """Of runs of ties, the rows whose (id, place) differs from their run's first."""
+def _sooner(place: tuple[np.ndarray, ...], tie: np.ndarray) -> np.ndarray:
+    """Of runs of ties, the rows whose place differs from their run's first."""
     run = np.maximum.accumulate(np.where(tie, 0, np.arange(len(tie))))
-    return tie & ((ids != ids[run]) | (place != place[run]))
+    other = np.zeros(len(tie), bool)
+    for x in place:
+        other |= x != x[run]
+    return tie & other
 
 
 def compare_suffixes(x: dict[str, np.ndarray], width: int, edges: bool) -> tuple[list[tuple], list[tuple]]:
     """Removed ranges (row, from, to) among suffixes of one range partition, and for the groups at
     its borders (edges) the first of each window: (hash, hash, row, from). x: buf (each suffix's
-    text before its anchor, then from it on), before, after (their lengths), id, at (the anchor)."""
-    buf, before, after, ids, at = (x[k] for k in ("buf", "before", "after", "id", "at"))
+    text before its anchor, then from it on), before, after (their lengths), id and k (the document),
+    at (the anchor)."""
+    buf, before, after, ids, ks, at = (x[k] for k in ("buf", "before", "after", "id", "k", "at"))
     if not len(ids):
         return [], []
     begin = np.cumsum(before + after) - before - after
-    place = np.stack([before << 16 | after, ids ^ np.int64(-(1 << 63)), at], axis=1).view(np.uint64)
+    sign = np.int64(-(1 << 63))
+    place = np.stack([before << 16 | after, ids ^ sign, ks ^ sign, at], axis=1).view(np.uint64)
     words = np.concatenate([_words(buf, begin + before, after, width), _words(buf, begin, before, width), place], axis=1)
     order, head = multikey_order(words)
-    ids, at, before, after, begin = ids[order], at[order], before[order], after[order], begin[order]
+    ids, ks, at, before, after, begin = ids[order], ks[order], at[order], before[order], after[order], begin[order]
     group = np.cumsum(head < GRAM // 8) - 1
     border = np.zeros(group[-1] + 1, bool)
     if edges:
         border[[0, -1]] = True
-    same = head >= words.shape[1] - 2  # text and lengths are those of the suffix before
-    late = np.flatnonzero(_sooner(ids, at, same))
+    same = head >= words.shape[1] - 3  # text and lengths are those of the suffix before
+    late = np.flatnonzero(_sooner((ids, ks, at), same))
     gone = [(order[late], (at - before)[late], (at + after)[late])]
     kinds = np.bincount(group[~same], minlength=len(border))
     firsts = np.flatnonzero(~same & ((kinds > 1) | border)[group])
@@ -180,32 +198,33 @@ def compare_suffixes(x: dict[str, np.ndarray], width: int, edges: bool) -> tuple
         row = np.repeat(np.arange(n), each)
         off = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
         a, b = (_width_hashes(part, width, c)[near[row] + off] for c in _CODES)
-        doc, start = ids[some][row], (at - before)[some][row] + off
-        by = np.lexsort((start, doc, b, a))
-        a, b, doc, start, row = a[by], b[by], doc[by], start[by], row[by]
+        doc, text, start = ids[some][row], ks[some][row], (at - before)[some][row] + off
+        by = np.lexsort((start, text, doc, b, a))
+        a, b, doc, text, start, row = a[by], b[by], doc[by], text[by], start[by], row[by]
         tie = np.zeros(len(a), bool)
         tie[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        late = np.flatnonzero(_sooner(doc, start, tie))
+        late = np.flatnonzero(_sooner((doc, text, start), tie))
         gone.append((order[some][row[late]], start[late], start[late] + width))
         ask = np.flatnonzero(~tie & border[group[some]][row])
         asked.append((a[ask].view(np.int64), b[ask].view(np.int64), order[some][row[ask]], start[ask]))
     return gone, asked
 
 
-def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ranges of the same document that touch or overlap made one."""
-    by = np.lexsort((lo, doc))
-    doc, lo, hi = doc[by], lo[by], hi[by]
+def _merged(doc: np.ndarray, text: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges of the same document (doc, text) that touch or overlap made one."""
+    by = np.lexsort((lo, text, doc))
+    doc, text, lo, hi = doc[by], text[by], lo[by], hi[by]
     if not len(doc):
-        return doc, lo, hi
-    head = np.diff(doc, prepend=doc[0] - 1) != 0
+        return doc, text, lo, hi
+    head = np.ones(len(doc), bool)
+    head[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
     shift = np.cumsum(head) * (int(hi.max()) + 1)  # so that running maxima start anew with each document
     reach = np.maximum.accumulate(hi + shift)
     new = head.copy()
     new[1:] |= lo[1:] + shift[1:] > reach[:-1]
     cut = np.flatnonzero(new)
     last = np.append(cut[1:], len(doc)) - 1
-    return doc[cut], lo[cut], (reach - shift)[last]
+    return doc[cut], text[cut], lo[cut], (reach - shift)[last]
 
 
 def _ints(*arrays: np.ndarray) -> bytes:
@@ -216,15 +235,74 @@ def _columns(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(blob, np.int64).reshape(n, -1)
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 100, bucket_mb: float = BUCKET_MB, carry: list[str] = ()) -> DataFrame:
+def _whole(pdf: pd.DataFrame, found: pd.DataFrame) -> np.ndarray:
+    """Which rows are copies of an earlier document's text and go whole."""
+    pairs = {x for ids, ks in zip(found["ids"], found["ks"]) if ids is not None for x in zip(ids, ks)}
+    return np.array([x in pairs for x in zip(pdf["id"], pdf["k"])], bool) if pairs else np.zeros(len(pdf), bool)
+
+
+def _ranked(gram: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Columns by which suffixes are routed: the leading words and the id, as unsigned numbers."""
+    return np.vstack([gram.T, (ids ^ np.int64(-(1 << 63))).view(np.uint64)])
+
+
+def _unranked(blobs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), ">u8").astype(np.uint64).reshape(-1, GRAM // 8 + 1).T
+
+
+def _splitters(drawn: list[bytes], parts: int) -> np.ndarray:
+    """Splitters of parts ranges from a sample of _ranked columns, in order."""
+    drawn = sorted(drawn)
+    return _unranked([drawn[k] for k in np.unique(np.linspace(0, len(drawn), parts + 1).astype(int)[1:-1])] if drawn else [])
+
+
+def _part_of(keys: np.ndarray, splitters: np.ndarray) -> np.ndarray:
+    """How many splitters are no larger than each key: by a search on the first word, and of the few
+    keys that share it with splitters on all words."""
+    if not splitters.shape[1]:
+        return np.zeros(keys.shape[1], np.int64)
+    lo, hi = np.searchsorted(splitters[0], keys[0]), np.searchsorted(splitters[0], keys[0], "right")
+    open_ = np.flatnonzero(lo < hi)
+    while len(open_):
+        at = (lo[open_] + hi[open_]) // 2
+        less, tied = np.zeros(len(open_), bool), np.ones(len(open_), bool)  # key < splitter
+        for k, s in zip(keys[:, open_], splitters[:, at]):
+            less |= tied & (k < s)
+            tied &= k == s
+        hi[open_[less]] = at[less]
+        lo[open_[~less]] = at[~less] + 1
+        open_ = open_[lo[open_] < hi[open_]]
+    return lo
+
+
+def _groups(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order, cuts = by_part(part, part)
+    return ((p, order[a:b]) for p, a, b in cuts)
+
+
+def _packed(x: dict[str, np.ndarray], begin: np.ndarray, n: np.ndarray, k: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
+    """Suffixes k of x as a row: how many, their texts, lengths and places."""
+    buf = x["buf"][np.repeat(begin[k] - np.cumsum(n[k]) + n[k], n[k]) + np.arange(n[k].sum())]
+    return len(k), buf.tobytes(), x["before"][k].astype(np.uint8).tobytes() + x["after"][k].astype(np.uint8).tobytes(), _ints(x["id"][k], x["k"][k], x["at"][k])
+
+
+def _unpacked(buf, size, place) -> dict[str, np.ndarray]:
+    size = np.concatenate([np.frombuffer(b, np.uint8).reshape(2, -1) for b in size], axis=1).astype(np.int64)
+    place = np.concatenate([np.frombuffer(b, np.int64).reshape(3, -1) for b in place], axis=1)
+    return {"buf": np.frombuffer(b"".join(buf), np.uint8), "before": size[0], "after": size[1], "id": place[0], "k": place[1], "at": place[2]}
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 100, bucket_mb: float = BUCKET_MB, carry: list[str] = (), ranges: int = RANGES) -> DataFrame:
     """One row for each document: id_col, n_bytes, spans (array of start and end of the maximal
     removed runs, in bytes), kept (binary: what is left), then the columns named in carry.
 
     A byte goes if a string of `width` bytes that covers it also starts earlier: in a smaller id or
-    in the same document before. A null text is empty; texts of fewer bytes than width lose none;
-    rows that share an id are at the same place, so neither is earlier (a null id comes last); ids
-    are whole numbers; an empty table gives no rows; other columns are ignored. Windows are compared
-    by two 64-bit hashes where suffixes differ."""
+    in the same document before. A null text is empty; texts of fewer bytes than width lose none. Of
+    different texts that share an id, the one with the smaller 64-bit hash is earlier; rows of the
+    same id and text are one document, each with its row. A null id comes last; ids are whole
+    numbers; an empty table gives no rows; other columns are ignored, whatever their names. Texts are
+    read whole, in slices of a few MB. Windows are compared by two 64-bit hashes where suffixes
+    differ."""
     if width < GRAM + 8 or width > 255:
         raise ValueError(f"width must be from {GRAM + 8} to 255")
     spark = docs.sparkSession
@@ -235,15 +313,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     parts = buckets
     id_ = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     rows = docs.select(id_.alias("id"), F.col(id_col).isNull().alias("lost"), text_bytes(text_col).alias("t"), F.struct(F.lit(0).alias("_"), *[docs[c] for c in carry]).alias("x"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).select("bucket", "id", "lost", "t", "x")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "t"), F.lit(buckets)).cast("int")).select("bucket", "id", F.xxhash64("t").alias("k"), "lost", "t", "x")
     whole_rows, rows = rows, rows.drop("x")
 
     # exact copies: all but the smallest id go whole, and need no suffixes
-    marks = rows.where(F.length("t") >= width).select("bucket", "id", F.sha2("t", 256).alias("sha"))
+    marks = rows.where(F.length("t") >= width).select("bucket", "id", "k", F.sha2("t", 256).alias("sha"))
     least = marks.groupBy("sha").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     least = scratch.write(least.select("sha", "least"), "least")
-    copies = marks.join(checked(least, 200_000), "sha").where("id > least").select("bucket", "id").distinct()
-    copies = scratch.write(copies.groupBy("bucket").agg(F.collect_list("id").alias("ids")), "copies")
+    copies = marks.join(checked(least, 200_000), "sha").where("id > least").select("bucket", "id", "k").distinct()
+    copies = scratch.write(copies.groupBy("bucket").agg(F.collect_list("id").alias("ids"), F.collect_list("k").alias("ks")), "copies")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct anchor hashes of a task by bucket and part of the hash space, with flags of those seen twice."""
@@ -284,7 +362,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     sent = rows.select("bucket", "t").mapInArrow(send, "p int, bucket int, a binary, b binary")
     alive = scratch.write(sent.groupBy("p").applyInPandas(repeated, "bucket int, a binary"), "alive")
-    guide = alive.withColumn("ids", F.lit(None).cast("array<long>")).unionByName(copies.select("bucket", F.lit(None).cast("binary").alias("a"), "ids"))
+    none = F.lit(None).cast("array<long>")
+    guide = alive.withColumns({"ids": none, "ks": none}).unionByName(copies.select("bucket", F.lit(None).cast("binary").alias("a"), "ids", "ks"))
 
     def suffixes(pdf: pd.DataFrame, found: pd.DataFrame) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
         """Suffixes that may repeat, and their grams as words."""
@@ -292,9 +371,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         if not keys or not len(pdf):
             return
         keys = np.sort(np.concatenate(keys))
-        skip = [x for x in found["ids"] if x is not None]
-        pdf = pdf[~pdf["id"].isin(np.concatenate(skip))] if skip else pdf
-        texts, ids = pdf["t"].tolist(), pdf["id"].to_numpy()
+        pdf = pdf[~(_whole(pdf, found) | pdf.duplicated(["id", "k"]).to_numpy())]
+        texts, ids, ks = pdf["t"].tolist(), pdf["id"].to_numpy(), pdf["k"].to_numpy()
         for doc, at, first, last, h in suffix_records(texts, width):
             ok = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h)
             if not len(ok):
@@ -307,46 +385,61 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             n = end - first
             buf = whole[np.repeat(base + first - np.cumsum(n) + n, n) + np.arange(n.sum())]
             gram = _words(whole, base + at, np.full(len(at), GRAM), GRAM)
-            yield {"buf": buf, "before": at - first, "after": end - at, "id": ids[doc], "at": at}, gram
+            yield {"buf": buf, "before": at - first, "after": end - at, "id": ids[doc], "k": ks[doc], "at": at}, gram
 
     def sample(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"g": [r.astype(">u8").tobytes() for r in gram], "id": x["id"]}) for x, gram in suffixes(pdf, found)]
-        return pd.concat(out) if out else pd.DataFrame(columns=["g", "id"])
+        out = [_ranked(gram, x["id"]) for x, gram in suffixes(pdf, found)]
+        return pd.DataFrame({"g": [g.tobytes() for x in out for g in x.T.astype(">u8")]}, columns=["g"])
 
+    steps = [min(parts, ranges)]
+    if parts > ranges:
+        steps.append(math.ceil(parts / ranges))
     share = min(1.0, SAMPLED * parts * 250.0 / max(1, size))  # a suffix for each 50 bytes, of which a fifth repeats
     some = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    drawn = some.groupBy("bucket").cogroup(guide.groupBy("bucket")).applyInPandas(sample, "g binary, id long").toPandas()
-    drawn = drawn.sort_values(["g", "id"]).reset_index(drop=True)
-    cut = drawn.iloc[np.unique(np.linspace(0, len(drawn), parts + 1).astype(int)[1:-1])] if len(drawn) else drawn
-    splitters = np.stack([*np.frombuffer(b"".join(cut["g"]), ">u8").astype(np.uint64).reshape(len(cut), -1).T, (cut["id"].to_numpy(np.int64) ^ np.int64(-(1 << 63))).view(np.uint64)]) if len(cut) else np.zeros((GRAM // 8 + 1, 0), np.uint64)
+    drawn = scratch.write(some.groupBy("bucket").cogroup(guide.groupBy("bucket")).applyInPandas(sample, "g binary"), "drawn")
+    n = drawn.count()
+    few = drawn if n <= SAMPLED * ranges else drawn.where(F.rand(7) < SAMPLED * ranges / n)  # to the driver: SAMPLED * ranges in expectation, at any size
+    splitters = _splitters([r["g"] for r in few.collect()], steps[0])
 
     def route(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = []
         for x, gram in suffixes(pdf, found):
-            keys = np.concatenate([splitters, np.vstack([gram.T, (x["id"] ^ np.int64(-(1 << 63))).view(np.uint64)])], axis=1)
-            m = splitters.shape[1]
-            order = np.lexsort([np.arange(keys.shape[1]) >= m, *keys[::-1]])
-            part = np.empty(keys.shape[1], np.int64)
-            part[order] = np.cumsum(order < m)
-            part = part[m:]
+            part = _part_of(_ranked(gram, x["id"]), splitters)
             n = x["before"] + x["after"]
             begin = np.cumsum(n) - n
-            order, cuts = by_part(part, part)
-            for p, a, b in cuts:
-                k = order[a:b]
-                buf = x["buf"][np.repeat(begin[k] - np.cumsum(n[k]) + n[k], n[k]) + np.arange(n[k].sum())]
-                out.append((p, int(key[0]), b - a, buf.tobytes(), x["before"][k].astype(np.uint8).tobytes() + x["after"][k].astype(np.uint8).tobytes(), _ints(x["id"][k], x["at"][k])))
+            out += [(p, int(key[0]), *_packed(x, begin, n, k)) for p, k in _groups(part)]
+        tidy()
         return pd.DataFrame(out, columns=["p", "bucket", "n", "buf", "size", "place"])
 
     routed = rows.groupBy("bucket").cogroup(guide.groupBy("bucket")).applyInPandas(route, "p int, bucket int, n long, buf binary, size binary, place binary")
+    if len(steps) > 1:  # each range has splitters of its own, from its part of the sample
+
+        def finer(key, pdf: pd.DataFrame) -> pd.DataFrame:
+            cut = _splitters(pdf["g"].tolist(), steps[1])
+            return pd.DataFrame([(int(key[0]), cut.astype(">u8").T.tobytes())], columns=["p", "g"])
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                part = _part_of(_unranked(batch.column(0).to_pylist()), splitters)
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), batch.column(0)], ["p", "g"])
+
+        def again(key, pdf: pd.DataFrame, cut: pd.DataFrame) -> pd.DataFrame:
+            out, own = [], _unranked([cut["g"].iloc[0]] if len(cut) else [])
+            for bucket, n, buf, size, place in zip(pdf["bucket"], pdf["n"], pdf["buf"], pdf["size"], pdf["place"]):
+                x = _unpacked([buf], [size], [place])
+                n = x["before"] + x["after"]
+                begin = np.cumsum(n) - n
+                gram = _words(x["buf"], begin + x["before"], np.full(len(n), GRAM), GRAM)
+                part = _part_of(_ranked(gram, x["id"]), own)
+                out += [(int(key[0]) * steps[1] + p, bucket, *_packed(x, begin, n, k)) for p, k in _groups(part)]
+            return pd.DataFrame(out, columns=["p", "bucket", "n", "buf", "size", "place"])
+
+        cuts = drawn.mapInArrow(place, "p int, g binary").groupBy("p").applyInPandas(finer, "p int, g binary")
+        routed = routed.groupBy("p").cogroup(cuts.groupBy("p")).applyInPandas(again, "p int, bucket int, n long, buf binary, size binary, place binary")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = pdf["n"].to_numpy()
-        size = [np.frombuffer(b, np.uint8).reshape(2, -1) for b in pdf["size"]]
-        place = [np.frombuffer(b, np.int64).reshape(2, -1) for b in pdf["place"]]
-        size, place = np.concatenate(size, axis=1).astype(np.int64), np.concatenate(place, axis=1)
-        x = {"buf": np.frombuffer(b"".join(pdf["buf"]), np.uint8), "before": size[0], "after": size[1], "id": place[0], "at": place[1]}
-        bucket = np.repeat(pdf["bucket"].to_numpy(), n)
+        x = _unpacked(pdf["buf"], pdf["size"], pdf["place"])
+        bucket = np.repeat(pdf["bucket"].to_numpy(), pdf["n"].to_numpy())
         gone, asked = compare_suffixes(x, width, edges=True)
         out = []
         if gone:
@@ -354,42 +447,41 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             own = bucket[row]
             for b in np.unique(own):
                 k = own == b
-                out.append((int(b), 0, 0, 0, -1, _ints(*_merged(x["id"][row[k]], lo[k], hi[k]))))
+                out.append((int(b), 0, 0, 0, 0, -1, _ints(*_merged(x["id"][row[k]], x["k"][row[k]], lo[k], hi[k]))))
         if asked:
             a, b, row, lo = (np.concatenate(c) for c in zip(*asked))
-            out += zip(bucket[row].tolist(), a.tolist(), b.tolist(), x["id"][row].tolist(), lo.tolist(), [None] * len(row))
-        return pd.DataFrame(out, columns=["bucket", "a", "b", "id", "lo", "gone"])
+            out += zip(bucket[row].tolist(), a.tolist(), b.tolist(), x["id"][row].tolist(), x["k"][row].tolist(), lo.tolist(), [None] * len(row))
+        tidy()
+        return pd.DataFrame(out, columns=["bucket", "a", "b", "id", "k", "lo", "gone"])
 
-    found = scratch.write(routed.groupBy("p").applyInPandas(compare, "bucket int, a long, b long, id long, lo long, gone binary"), "found")
+    found = scratch.write(routed.groupBy("p").applyInPandas(compare, "bucket int, a long, b long, id long, k long, lo long, gone binary"), "found")
     scratch.drop("alive")
     both = Window.partitionBy("a", "b")  # a row for each range partition at most
-    late = found.where("lo >= 0").withColumn("first", F.min(F.struct("id", "lo")).over(both)).where(F.struct("id", "lo") != F.col("first"))
-    marked = found.where("lo < 0").select("bucket", "id", "lo", "gone", F.lit(None).cast("array<long>").alias("ids"))
-    marked = marked.unionByName(late.select("bucket", "id", "lo", "gone", F.lit(None).cast("array<long>").alias("ids")))
-    marked = marked.unionByName(copies.select("bucket", F.lit(0).cast("long").alias("id"), F.lit(-1).cast("long").alias("lo"), F.lit(None).cast("binary").alias("gone"), "ids"))
+    late = found.where("lo >= 0").withColumn("first", F.min(F.struct("id", "k", "lo")).over(both)).where(F.struct("id", "k", "lo") != F.col("first"))
+    cols = ["bucket", "id", "k", "lo", "gone"]
+    marked = found.where("lo < 0").select(cols).unionByName(late.select(cols)).withColumns({"ids": none, "ks": none})
+    marked = marked.unionByName(copies.select("bucket", F.lit(0).cast("long").alias("id"), F.lit(0).cast("long").alias("k"), F.lit(-1).cast("long").alias("lo"), F.lit(None).cast("binary").alias("gone"), "ids", "ks"))
 
     def cut_out(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame(columns=["id", "lost", "n_bytes", "spans", "kept", "x"])
-        ranges = [_columns(b, 3) for b in found["gone"] if b is not None]
-        single = found["lo"].to_numpy() >= 0
-        lo = found["lo"][single].to_numpy(np.int64)
-        ranges.append(np.stack([found["id"][single].to_numpy(np.int64), lo, lo + width]))
-        whole = {i for x in found["ids"] if x is not None for i in x}
-        doc, lo, hi = _merged(*np.concatenate(ranges, axis=1))
-        a, b = np.searchsorted(doc, pdf["id"].to_numpy()), np.searchsorted(doc, pdf["id"].to_numpy(), "right")
+        gone = [_columns(b, 4) for b in found["gone"] if b is not None]
+        single = found[found["lo"] >= 0]
+        lo = single["lo"].to_numpy(np.int64)
+        gone.append(np.stack([single["id"].to_numpy(np.int64), single["k"].to_numpy(np.int64), lo, lo + width]))
+        whole, own_of = _whole(pdf, found), {}
+        for i, k, p, q in zip(*(x.tolist() for x in _merged(*np.concatenate(gone, axis=1)))):
+            own_of.setdefault((i, k), []).append((p, q))
         spans, kept = [], []
-        for i, t, x, y in zip(pdf["id"], pdf["t"], a, b):
-            if i in whole and len(t) >= width:
-                own = [(0, len(t))]
-            else:
-                own = [(int(p), int(q)) for p, q in zip(lo[x:y], hi[x:y]) if q <= len(t)]
+        for i, k, t, copy in zip(pdf["id"], pdf["k"], pdf["t"], whole):
+            own = [(0, len(t))] if copy else own_of.get((i, k), [])
             at, left = 0, []
             for p, q in own:
                 left.append(t[at:p])
                 at = q
             spans.append([{"start": p, "end": q} for p, q in own])
             kept.append(b"".join([*left, t[at:]]))
+        tidy()
         return pd.DataFrame({"id": pdf["id"], "lost": pdf["lost"], "n_bytes": [len(t) for t in pdf["t"]], "spans": spans, "kept": kept, "x": pdf["x"]})
 
     kind = whole_rows.schema["x"].dataType.simpleString()
