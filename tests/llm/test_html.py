@@ -1,3 +1,6 @@
+import random
+import time
+
 from loomlog.llm import html
 from loomlog.llm.html import Page, main_text
 
@@ -18,7 +21,7 @@ def test_boilerplate_goes():
     body = "<nav>menu</nav><header>top</header><div class='sidebar'>side</div><div id='cookie-notice'>c</div><form>f</form><script>if(a<b)'</p>'</script><!-- x --><aside>a</aside>"
     after = "<section class='comments'>c</section><div role=navigation>r</div><div hidden>h</div><footer>foot</footer>"
     assert main_text(Page(page(f"{body}<p>keep</p>{after}", article=False))) == "keep"
-    assert main_text(Page(page(f"<p>one</p><div class='ad'>buy</div><p>two</p><div class=share>s</div>"))) == "one two"
+    assert main_text(Page(page("<p>one</p><div class='ad'>buy</div><p>two</p><div class=share>s</div>"))) == "one two"
     assert main_text(Page("<body><p>loose</p><article class='post'><p>main</p></article></body>")) == "main"
 
 
@@ -43,3 +46,49 @@ def test_templates_are_removed(spark):
         assert all("house rules" not in text[i] for i in range(12)) and "house rules" in text[20] and "house rules" in text[22]
         assert text[21] == "" and text[0] == "lonely story" and text[45] == "the same article on many pages"
     assert html.extract_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_whole_names_inside_articles():
+    body = "<div class='related-work'>w</div><div class='related-posts'>p</div><div id=comments>c</div><div class='noticeable header-image'>n</div><p>k</p>"
+    assert main_text(Page(page(body))) == "w n k"
+    assert main_text(Page("<nav><article>teaser</article></nav><p>body</p>")) == "body"  # an article in a menu is none
+
+
+def test_notice_longer_than_the_articles(spark):
+    notice = "<div>" + "We keep what you read to ourselves and our friends. " * 30 + "</div><div>also here</div>"
+    rows = [(i, f"http://n.example/{i}", page(f"<p>Short {i}.</p>", article=False).replace("</body>", notice + "</body>"), 0, 0, 0, 0) for i in range(40)]
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: f"Short {i}." for i in range(40)}
+
+
+def test_counts_equal_brute_force(spark):
+    rng = random.Random(4)
+    pool = [f"<div>block {k}</div>" for k in range(12)]
+    rows = []
+    for i in range(150):
+        host = f"h{i % 3}.example"
+        inside = "".join(rng.sample(pool, rng.randint(0, 5)))
+        rows.append((i, f"http://{host}/{i}", page(f"<p>own {rng.randrange(60)}</p>{inside}", article=i % 2 == 0), 0, 0, 0, 0))
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(rows, SCHEMA), share=0.2, article_share=0.3, many=30).collect()}
+    for host in range(3):
+        own = {r[2] for r in rows if r[0] % 3 == host}  # different pages
+        on = lambda b: sum(b in x for x in own)
+        only_inside = lambda b: all("<article>" in x for x in own if b in x)
+        gone = {b for b in {*pool, *[f"<p>own {k}</p>" for k in range(60)]} if on(b) >= 5 and (on(b) >= 0.2 * len(own) or on(b) >= 30)}
+        for i, _, h, *_ in rows:
+            if i % 3 == host:
+                body = h
+                for b in gone:
+                    if "<article>" not in h or on(b) >= 0.3 * len(own):
+                        body = body.replace(b, "<br>")
+                assert got[i] == main_text(Page(body)), i
+    assert any("block" in t for t in got.values()) and any("block" not in t for t in got.values())
+
+
+def test_broken_markup_takes_linear_time():
+    for unit in ("a<b ", '<div "a ', "<a x='>\" ", "<div><main></div>", "<li><b>", "<p><button><div>", "</x>", "<div></span>", "<!-", "<script", '<a b=">" ', "&amp", "<td><i>"):
+        for tail in ("", ">", "'", '">'):
+            source = unit * (300_000 // len(unit)) + tail
+            began = time.time()
+            main_text(Page(source), {1: True})
+            assert time.time() - began < 4, (unit, tail)
