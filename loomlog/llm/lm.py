@@ -7,8 +7,9 @@ the request, so that the unigram base is exact. All bigrams seen in training go
 holds quantised log counts: a key of level j is entered j times, as (key, 1) to (key, j), and a
 lookup probes one level after another until one misses. Each partition has the filter of its own
 keys, as large as its entries ask, and answers the buckets' probes of them; nothing is broadcast. A
-bigram's probability is its discounted share of its context's count, plus the unigram base at the
-weight that the context has left."""
+bigram's probability is its discounted share of what the filter holds of its context, plus the
+unigram base at the weight that the discounts leave: over all words and one unknown they add up to 1,
+but for keys that the filter finds though they were never entered."""
 
 from __future__ import annotations
 
@@ -20,12 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Scratch, blocks_of, hash_words, mix64, text_bytes
+from .common import Powers, Scratch, blocks_of, hash_words, mix64, text_bytes, tidy
 
 #: MB of text in a bucket; training tokens in a partition of the hash space; fewest of either.
 BUCKET_MB, PART_TOKENS, FEWEST = 8, 2_000_000, 48
 #: Bits for each entry of the filter, its hashes and the log base.
 BITS, HASHES, STEP = 20, 6, 1.5
+#: The level of the largest count that a shard adds up to; no lookup goes beyond it.
+TOP = 1 + int(math.log(1 << 40) / math.log(STEP))
 DISCOUNT = 0.75
 END, START = np.uint64(0x3C6EF372FE94F82B), np.uint64(0xA54FF53A5F1D36F1)
 _CONTEXT = np.uint64(0x510E527FADE682D1)
@@ -107,7 +110,7 @@ class LogFrequencyFilter:
         level = np.zeros(len(keys), np.int64)
         left, j = np.arange(len(keys)), 1
         shard = shard_of(keys, len(self.bits))
-        while len(left):
+        while len(left) and j <= TOP:
             own = shard[left]
             first, bits = self.first[own], self.bits[own]
             h = mix64(keys[left] + np.uint64(j * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -168,7 +171,8 @@ def score_documents(
     an empty vocabulary. An empty table gives no rows; other columns are ignored.
 
     Words and bigrams are known by 64-bit hashes. The model's bigrams are all those seen in
-    training; their filter has BITS for each entry at any size. Contexts' masses are exact."""
+    training; their filter has BITS for each entry at any size. What the filter holds of each context
+    is added up exactly. Texts are scored whole; a bucket holds one text at least."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     held = F.coalesce(held_out, F.lit(False))
@@ -207,16 +211,19 @@ def score_documents(
                 entered = total > 0
                 held, total = distinct[entered], total[entered]
                 answer = LogFrequencyFilter([build_shard(held, total)]).levels(distinct).astype(np.uint8)
+                quantised = count_of(answer[entered].astype(np.int64))
                 context = context_keys(held)
                 cut = np.flatnonzero(np.diff(context, prepend=~context[:1])) if len(held) else np.zeros(0, np.int64)
                 if len(cut):
-                    mass = np.add.reduceat(total - discount, cut)
+                    mass = np.add.reduceat(quantised, cut).astype(np.float32)
+                    types = np.diff(np.append(cut, len(context))).astype(np.float32)
                     order, cuts = by_part(context[cut], shard_of(context[cut], parts))
-                    out += [("mass", q, -1, pack_sorted(context[cut][order[a:b]]) + mass[order[a:b]].tobytes(), b - a, 0) for q, a, b in cuts]
+                    out += [("mass", q, -1, pack_sorted(context[cut][order[a:b]]) + mass[order[a:b]].tobytes() + types[order[a:b]].tobytes(), b - a, 0) for q, a, b in cuts]
             at = 0
             for bucket, k in zip(own["bucket"], keys):
                 out.append(("counts" if kind == "u" else "levels", p, int(bucket), pack_planes(answer[back[at : at + len(k)]]), 0, 0))
                 at += len(k)
+        tidy()
         return pd.DataFrame(out, columns=["kind", "p", "bucket", "a", "n", "m"])
 
     sent = rows.groupBy("bucket").applyInPandas(send, "p int, kind string, bucket int, a binary, b binary")
@@ -227,19 +234,19 @@ def score_documents(
     def add_mass(pdf: pd.DataFrame) -> pd.DataFrame:
         given, asked = pdf[pdf["kind"] == "mass"], pdf[pdf["kind"] == "asked"]
         keys = np.concatenate([np.zeros(0, np.uint64), *[unpack_sorted(a[: 8 * n]) for a, n in zip(given["a"], given["n"])]])
-        mass = np.concatenate([np.zeros(0), *[np.frombuffer(a[8 * n :], np.float64) for a, n in zip(given["a"], given["n"])]])
+        sums = np.concatenate([np.zeros((2, 0), np.float32), *[np.frombuffer(a[8 * n :], np.float32).reshape(2, -1) for a, n in zip(given["a"], given["n"])]], axis=1)
         keys, back = np.unique(keys, return_inverse=True)
-        mass = np.append(np.bincount(back, mass, len(keys)), 0.0)
+        sums = [np.append(np.bincount(back, x, len(keys)), 0.0).astype(np.float32) for x in sums]
         out = []
         for bucket, a in zip(asked["bucket"], asked["a"]):
             own = context_keys(unpack_sorted(a))
             at = np.searchsorted(keys, own)
             at[np.append(keys, np.uint64(0))[at] != own] = len(keys)
-            out.append(("masses", int(pdf["p"].iloc[0]), bucket, pack_planes(mass[at])))
+            out += [(kind, int(pdf["p"].iloc[0]), bucket, pack_planes(x[at])) for kind, x in zip(("masses", "types"), sums)]
+        tidy()
         return pd.DataFrame(out, columns=["kind", "p", "bucket", "a"])
 
     masses = added.where("kind IN ('mass', 'asked')").select("kind", "p", "bucket", "a", "n").groupBy("p").applyInPandas(add_mass, "kind string, p int, bucket int, a binary")
-    taught = rows.where(~F.col("held")).count()
 
     def score(key, pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
@@ -249,28 +256,25 @@ def score_documents(
         back, start = back[:-1], back[-1]
         keys, where = np.unique(bigram_keys(tokens, first)[0], return_inverse=True)
         answers = {(kind, p): a for kind, p, a in zip(found["kind"], found["p"], found["a"])}
-        counts, mass, level = np.zeros(len(words), np.int64), np.zeros(len(words)), np.zeros(len(keys), np.int64)
-        for into, name, own, kind in ((counts, "counts", context_keys(words), np.uint64), (mass, "masses", context_keys(words), np.float64), (level, "levels", keys, np.uint8)):
+        counts, mass, types, level = np.zeros(len(words), np.int64), np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(keys), np.int64)
+        above = context_keys(words)
+        for into, name, own, kind in ((counts, "counts", above, np.uint64), (mass, "masses", above, np.float32), (types, "types", above, np.float32), (level, "levels", keys, np.uint8)):
             order, cuts = by_part(own, shard_of(own, parts))
             for p, a, b in cuts:
                 into[order[a:b]] = unpack_planes(answers[name, p], kind)
         c = counts[back]
         base = (c + 0.5) / (total + 0.5 * (distinct + 1))
-        # what each context has given to its bigrams, as a share of its count
-        above = counts.copy()
-        above[start] = taught
-        given = np.zeros(len(words))
-        able = np.flatnonzero(above > 0)
-        given[able] = np.minimum(mass[able] / above[able], 1 - 1e-3)
         around = np.empty_like(back)
         around[1:] = back[:-1]
         around[first[:-1]] = start
-        p = (1 - given[around]) * base
-        seen = np.flatnonzero((c > 0) & (given[around] > 0))
-        share = np.maximum(count_of(level) - discount, 0)[where[seen]] / above[around[seen]]
-        p[seen] += np.minimum(share, given[around[seen]])
+        mass, types = mass[around], types[around]
+        able = mass > 0  # the context was seen in training
+        p = np.where(able, discount * types / np.where(able, mass, 1.0), 1.0) * base
+        seen = np.flatnonzero((c > 0) & able)
+        p[seen] += np.maximum(count_of(level[where[seen]]) - discount, 0) / mass[seen]
         n = np.diff(first)
         known = np.add.reduceat((c > 0).astype(np.int64), first[:-1])
+        tidy()
         return pd.DataFrame({"id": pdf["id"], "held": pdf["held"], "n_tokens": n, "n_known": known, "base": np.add.reduceat(np.log10(base), first[:-1]), "score": np.add.reduceat(np.log10(p), first[:-1])})
 
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -65,7 +65,7 @@ def test_filter_grows_with_its_entries():
     assert (f.counts(keys[:20000]) >= 2 / lm.STEP).all() and np.mean(f.counts(keys[20000:]) > 0) < 0.01
 
 
-def test_bigrams_seen_once_count(documents):
+def test_scores_equal_brute_force(documents):
     rng = random.Random(8)
     word = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(rng.choice(word) for _ in range(rng.randint(0, 30)))) for i in range(60)] + [(100, "rare words meet once"), (101, "rare words meet once"), (102, None)]
@@ -73,17 +73,33 @@ def test_bigrams_seen_once_count(documents):
     taught = [[0, *tokens(x)] for i, x in rows if i % 3 != 2]
     count = collections.Counter(t for own in taught for t in own)
     pair = collections.Counter(p for own in taught for p in zip(own, own[1:]))
-    mass = collections.Counter()
-    for (a, _), n in pair.items():
-        mass[a] += n - lm.DISCOUNT
+    level = lambda n: 1 + math.floor(math.log(n) / math.log(lm.STEP) + 1e-9)
+    held = {p: lm.STEP ** (level(n) - 1) * (1 + lm.STEP) / 2 for p, n in pair.items()}  # what the filter returns
+    mass, types = collections.Counter(), collections.Counter()
+    for (a, _), n in held.items():
+        mass[a] += n
+        types[a] += 1
     total, distinct = sum(count.values()) - count[0], len(count) - 1
+
+    def p(a, t):
+        base = (count[t] + 0.5) / (total + 0.5 * (distinct + 1))
+        return base if not mass[a] else lm.DISCOUNT * types[a] / mass[a] * base + max(held.get((a, t), 0) - lm.DISCOUNT, 0) / mass[a]
+
+    words = [t for t in count if t != 0] + ["unknown"]
+    assert all(math.isclose(sum(p(a, t) for t in words), 1.0, rel_tol=1e-9) for a in [0, "w1", "rare", "nowhere"])
     assert 1 in pair.values() and len(got) == len(rows)
     text = dict(rows)
     for r in got:
-        own, want = [0, *tokens(text[r.doc_id])], 0
-        for a, t in zip(own, own[1:]):
-            given = min(mass[a] / count[a], 1 - 1e-3) if count[a] else 0
-            level = 1 + math.floor(math.log(pair[a, t]) / math.log(lm.STEP) + 1e-9) if pair[a, t] else 0
-            share = max(lm.STEP ** (level - 1) * (1 + lm.STEP) / 2 - lm.DISCOUNT, 0) / count[a] if level else 0
-            want += math.log10((1 - given) * (count[t] + 0.5) / (total + 0.5 * (distinct + 1)) + min(share, given))
-        assert math.isclose(r.score, want, rel_tol=1e-6)
+        own = [0, *tokens(text[r.doc_id])]
+        assert math.isclose(r.score, sum(math.log10(p(a, t)) for a, t in zip(own, own[1:])), rel_tol=1e-6)
+
+
+def test_a_full_filter_ends_its_lookups():
+    f = lm.LogFrequencyFilter([b"\xff" * 32])
+    assert (f.levels(np.arange(5, dtype=np.uint64)) == lm.TOP).all()
+
+
+def test_very_long_texts(documents):
+    rows = [(1, "long words " * 200_000), (2, "long words"), (3, " ")]
+    got = {r.doc_id: r for r in lm.score_documents(documents(rows), F.col("doc_id") == 2, bucket_mb=0.5).collect()}
+    assert got[1].n_tokens == 400_001 and got[2].n_known == 3 and got[3].n_tokens == 1 and all(math.isfinite(r.score) for r in got.values())
