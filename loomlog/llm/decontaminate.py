@@ -100,9 +100,10 @@ def contamination(docs: DataFrame, bench: DataFrame, *, width: int = 13, part: i
     by commas), contaminated (n_hit > 0 and part * n_hit >= n_words).
 
     A window is `width` consecutive words of an item; an item of fewer, but not none, is one window.
-    A null text has no words. Repeated rows each give a row; items with a null id hit words but are
-    not counted; repeated items count once. Empty tables give no hits or no rows; other columns are
-    ignored."""
+    A null text has no words; texts are read whole. Repeated rows each give a row, and rows that share
+    an id are documents of their own; documents, items and terms are known by 64-bit hashes. Items
+    with a null id hit words but are not counted; repeated items count once. Empty tables give no
+    hits or no rows; other columns are ignored, whatever their names."""
     index = Index(docs, bench, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col)
     runs = index.scratch.write(_runs(index.alignments(width), index.terms, width), "runs")
     spots = runs.select("k", F.explode(F.sequence(F.col("doc_from"), F.col("doc_from") + F.col("n_words") - 1)).alias("pos")).distinct()

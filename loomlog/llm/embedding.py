@@ -89,7 +89,9 @@ def embedding_links(
     Vectors link when their labels are equal and not null, their dimensions are equal and their
     cosine is at least `cosine`. Null vectors, zero vectors and those with null or non-finite
     components link with nothing, as do rows with a null label. Repeated rows are vectors of their
-    own, so copies of one id link with each other. An empty table gives no rows."""
+    own, so copies of one id link with each other. Equal vectors of a label are one class, known by
+    the 64-bit hash of both. An empty table gives no rows; other columns are ignored, whatever their
+    names; vectors of any length go."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "embedding")
     wide = vectors.schema[vector_col].dataType.elementType.simpleString()

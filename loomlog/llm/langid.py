@@ -130,8 +130,9 @@ def predict_languages(docs: DataFrame, training: DataFrame, *, id_col: str = "do
     """(id_col, lang_pred, score) of every row of docs, learned from text and lang of training.
 
     lang_pred is `und` and score 0 for a text that is null or has no letter, and where nothing was
-    learned; where no n-gram of a text is known, it is the first language, with score 0. Repeated
-    rows each give a row; an empty table gives none; other columns are never read."""
+    learned; where no n-gram of a text is known, it is the first language, with score 0. Texts are
+    read whole, a MB of them at a time, one text at least. Repeated rows each give a row; an empty
+    table gives none; other columns are never read, whatever their names."""
     spark: SparkSession = docs.sparkSession
     langs, table = learn(training, id_col=id_col, text_col=text_col, lang_col=lang_col, sample=sample)
     shared = spark.sparkContext.broadcast((langs, table))  # CELLS words for each 64 languages

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, blocks_of
+from .common import Scratch, blocks_of, tidy
 
 #: Pieces of one length are ranked in groups of about GROUP, or a GROUPS-th of all if that is more.
 GROUP, GROUPS = 4096, 1 << 16
@@ -355,6 +355,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
                         rows.append((p, at, n, zlib.crc32(blob[4 * at : 4 * (at + n)])))
                 cols = [pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), *cols], ["id", "piece", "start", "length", "ids_crc32"])
+        tidy()
 
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))

@@ -16,9 +16,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, blocks_of, checked, components, forest, in_blocks, sorted_groups, text_bytes
+from .common import Scratch, blocks_of, checked, components, forest, in_blocks, sorted_groups, text_bytes, tidy
 
 BLOCK = 256
+#: Fingerprints that a task expands into variants, and most tasks for it.
+EXPANDED, MOST_TASKS = 20_000, 20_000
 
 
 def _shingle_hashes(text: bytes, width: int, seed: int) -> list[int]:
@@ -62,6 +64,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 first = np.concatenate([[0], np.cumsum([len(x) for x in each])])
                 flat = np.fromiter((h for x in each for h in x), np.uint64, first[-1])
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(_majority(flat, first))], ["id", "fp"])
+        tidy()
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("t")).mapInArrow(run, f"id {id_type}, fp long")
@@ -78,6 +81,9 @@ def link_forest(spark: SparkSession, scratch: Scratch, fps: DataFrame, distance:
     """Edges (a, b) between distinct fingerprints (column fp) that span every link of at most
     `distance` differing bits."""
     parts = [(s, w, bit) for s, w in _segments(distance) for bit in range(w)]
+    tasks = min(MOST_TASKS, -(-fps.count() // EXPANDED))
+    if tasks > 1:  # a stored table of 8-byte rows has few splits, and each row becomes 64
+        fps = fps.repartition(tasks, "fp")
 
     def variants(x: DataFrame) -> DataFrame:
         at = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(_signed(((1 << w) - 1 ^ (1 << b)) << s)).alias("m")) for i, (s, w, b) in enumerate(parts)]))
@@ -116,9 +122,10 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     reachable over links of at most `distance` differing bits, itself included).
 
     A null or wordless text has fingerprint zero and links like any other; texts of fewer than
-    `width` words are one shingle; a null id takes part but never names a component (null if no
-    other id is there); repeated rows each give a row; an empty table gives none; other columns are
-    ignored."""
+    `width` words are one shingle; texts are read whole; a null id takes part but never names a
+    component (null if no other id is there); repeated rows each give a row, and rows that share an
+    id are documents of their own; an empty table gives none; other columns are ignored, whatever
+    their names."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
     fp = scratch.write(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "fp")
