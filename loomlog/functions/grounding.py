@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .references import BARE_TICKET
-from .text import normalise, segments
+from .text import bound, normalise, occurrences, segments
 
 # Shapes of claims, tool names, binaries, limits.
 PATH = r"(?:(?<=\s)|^)(?:~|\.{0,2})/[\w./~-]{2,}(?:[\w~/-]|(?<=/)\.{1,2})"
@@ -22,6 +22,11 @@ BINARIES = (
 ID_CONTEXT = r"(?:\\?\"\w{0,32}id\\?\"\s*:\s*\\?\"?|\bid(?:\s*[:=])?\s*|_id\s*[:=]\s*\"?|\"target\"\s*:\s*\"|/)"
 MIN_SPAN, MAX_SPAN, WINDOW, SCAN_CAP = 3, 200, 120, 262_144
 COVERAGE_FLOOR = 0.10
+TOKEN = r"[A-Za-z_][A-Za-z0-9_-]{2,}|\d{2,}"
+ANNOTATION = r"[ \t]*\(id[ \t]+([1-9]\d{0,5})\)"
+WRAPPING = "\"'`.,;:()[]{}<>* "
+LOOSE_SPAN = r"`([^`\n]{3,200})`"
+KINDS = ["path", "tool", "ticket", "command", "code", "identifier"]
 
 
 def _all(text: Column, pattern: str, group: int = 0) -> Column:
@@ -117,58 +122,166 @@ def id_conflation(ticket: Column, corpus: Column) -> Column:
 
 def ticket_bucket(ticket: Column, corpus: Column) -> Column:
     number = F.substring(ticket, 2, 16)
-    return F.when(id_conflation(ticket, corpus), "id-conflation").when(F.regexp_like(corpus, F.concat(F.lit(r"\b"), number, F.lit(r"\b"))), "coincidental-number").otherwise("absent")
+    plain = F.regexp_like(corpus, F.concat(F.lit(r"(?<!\d)"), number, F.lit(r"(?!\d)")))
+    return F.when(id_conflation(ticket, corpus), "id-conflation").when(plain, "coincidental-number").otherwise("absent")
+
+
+def tokens_of(span: Column) -> Column:
+    """Distinct significant tokens of a span, lower-cased."""
+    return F.array_distinct(F.transform(_all(span, TOKEN), F.lower))
 
 
 def covering_span(tokens: Column, corpus: Column) -> Column:
-    """Length of the shortest stretch of the corpus that holds every token, by the occurrence of the
-    others nearest to each of the rarest token's; null where one is missing."""
-    places = F.transform(tokens, lambda t: F.filter(F.sequence(F.lit(1), F.greatest(F.length(corpus) - F.length(t) + 1, F.lit(1))), lambda p: F.substr(corpus, p, F.length(t)) == t))
-    ends = F.flatten(F.zip_with(places, tokens, lambda ps, t: F.transform(ps, lambda p: p + F.length(t))))
+    """Length of the shortest stretch of the corpus that holds every token, null where one is missing.
+    A token's occurrences don't overlap each other; one pass over all of them in order of their start
+    keeps the last start of each token, and a stretch ends where the current occurrence does."""
+    each = F.transform(tokens, lambda t, i: F.transform(occurrences(t, corpus), lambda p: F.struct(p.alias("start"), (p + F.length(t)).alias("end"), i.alias("token"))))
+    none = F.transform(tokens, lambda t: F.lit(-1).cast("long"))
 
-    def width(end: Column) -> Column:
-        starts = F.zip_with(places, tokens, lambda ps, t: F.array_max(F.filter(ps, lambda p: p + F.length(t) <= end)))
-        return F.when(F.exists(starts, lambda s: s.isNull()), None).otherwise(end - F.array_min(starts))
+    def step(acc: Column, x: Column) -> Column:
+        last = F.transform(acc["last"], lambda p, i: F.when(i == x["token"], x["start"]).otherwise(p))
+        return bound(last, lambda ls: F.struct(ls.alias("last"), F.least(acc["best"], bound(F.array_min(ls), lambda m: F.when(m >= 0, x["end"] - m))).alias("best")))
 
-    return F.array_min(F.filter(F.transform(ends, width), lambda w: w.isNotNull()))
+    start = F.struct(none.alias("last"), F.lit(None).cast("long").alias("best"))
+    return F.when(F.size(tokens) > 0, F.aggregate(F.array_sort(F.flatten(each)), start, step, lambda acc: acc["best"]))
 
 
 def co_occur(tokens: Column, corpus: Column, window: int = WINDOW) -> Column:
     return (F.size(tokens) >= 2) & F.coalesce(covering_span(tokens, corpus) <= window, F.lit(False))
 
 
-def span_bucket(span: Column, corpus: Column) -> Column:
-    tokens = F.filter(F.split(span, r"[^\w./~-]+"), lambda t: t != "")
-    bare = F.trim(F.regexp_replace(span, r"^[\p{Punct}\s]+|[\p{Punct}\s]+$", ""))
+def strip_chars(text: Column, chars: str) -> Column:
+    """A text without any of the characters at its ends."""
+    return F.rtrim(F.ltrim(text, F.lit(chars)), F.lit(chars))
+
+
+def span_bucket(span: Column, corpus: Column, desynced: Column | None = None) -> Column:
+    """Why a span was rejected; desynced: spans that only a looser pairing of backticks finds."""
+    tokens = tokens_of(span)
+    bare = strip_chars(span, WRAPPING)
+    lost = F.filter(tokens, lambda t: ~F.contains(corpus, t))
+    odd = F.lit(False) if desynced is None else F.coalesce(F.array_contains(desynced, span), F.lit(False))
     return (
-        F.when(F.contains(corpus, bare) & (bare != span), "punctuation-wrapped").when(F.size(tokens) == 0, "absent")
-        .when(~F.exists(tokens, lambda t: F.contains(corpus, t)), "absent").when(F.exists(tokens, lambda t: ~F.contains(corpus, t)), "token-missing")
-        .when(F.size(tokens) == 1, "single-token").otherwise("token-spread")
+        F.when(odd, "desync-artefact").when(F.contains(corpus, bare) & (bare != span) & (bare != ""), "punctuation-wrapped").when(F.size(lost) == F.size(tokens), "absent")
+        .when(F.size(lost) > 0, "token-missing").when(F.size(tokens) < 2, "single-token").otherwise("token-spread")
     )
 
 
-def grounded(kind: Column, claim: Column, terms: Column, tickets: Column, tools: Column, corpus: Column) -> Column:
+def desynced_spans(text: Column) -> Column:
+    """Spans that a pattern which may begin at a closing backtick finds, and claims() does not."""
+    loose = F.transform(_all(text, LOOSE_SPAN, 1), normalise)
+    live = F.transform(F.filter(_all(text, SPAN, 1), lambda s: F.length(s).between(MIN_SPAN, MAX_SPAN)), normalise)
+    return F.array_except(loose, live)
+
+
+def path_root(path: Column) -> Column:
+    """The first two segments of a path, which say which tree it is in."""
+    return F.concat(F.when(path.startswith("/"), F.lit("/")).otherwise(F.lit("")), F.array_join(F.slice(segments(path), 1, 2), "/"))
+
+
+def span_grounded(kind: Column, span: Column, commands: Column, corpus: Column) -> Column:
+    """A span stands in the corpus, or its tokens stand there together; a command may be one of the
+    session's, and a path only counts by its tokens if its root is there as written."""
+    rooted = ~F.regexp_like(span, F.lit(rf"^(?:{PATH})$")) | F.contains(corpus, path_root(span))
+    return ((kind == "command") & contained(span, commands)) | F.contains(corpus, span) | (rooted & bound(tokens_of(span), lambda ts: co_occur(ts, corpus)))
+
+
+def grounding_terms(read: Column, written: Column, commands: Column, tickets: Column, prs: Column, events: Column) -> Column:
+    """struct<paths, commands, tools, tickets> of what a session's summary may assert, lower-cased, from
+    its rollup's lists and its events (array<struct<tool, kind, target>>)."""
+    def low(*lists: Column) -> Column:
+        return F.array_distinct(F.transform(F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists]), F.lower))
+
+    touched = F.filter(events, lambda e: e["kind"].isin("file_read", "file_write") & (F.coalesce(e["target"], F.lit("")) != ""))
+    return F.struct(
+        low(read, written, F.transform(touched, lambda e: e["target"])).alias("paths"), F.array_distinct(F.transform(F.coalesce(commands, F.array().cast("array<string>")), normalise)).alias("commands"),
+        low(F.transform(events, lambda e: e["tool"])).alias("tools"), low(tickets, prs).alias("tickets"),
+    )
+
+
+def annotated_numbers(text: Column) -> Column:
+    """map<#N, M>: for each `#N (id M)` with another M, the first M in the text."""
+    pattern = BARE_TICKET + "(?i:" + ANNOTATION + ")"
+    pairs = F.arrays_zip(F.transform(_all(text, pattern, 1), lambda n: F.concat(F.lit("#"), n)).alias("key"), _all(text, pattern, 2).alias("value"))
+    pairs = F.filter(pairs, lambda p: F.substring(p["key"], 2, 16) != p["value"])
+
+    def firsts(ps: Column) -> Column:
+        keys = F.array_distinct(F.transform(ps, lambda p: p["key"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.get(F.filter(ps, lambda p: p["key"] == k), F.lit(0))["value"]))
+
+    return bound(pairs, firsts)
+
+
+def grounded(kind: Column, claim: Column, terms: Column, tickets: Column, tools: Column, corpus: Column, commands: Column | None = None) -> Column:
     """Whether a claim of any kind is grounded; texts are compared without regard to case."""
-    low = F.lower(claim)
-    tokens = F.filter(F.split(low, r"[^\w./~-]+"), lambda t: t != "")
+    low, none = F.lower(claim), F.array().cast("array<string>")
     return (
-        F.when(kind == "path", path_grounded(low, terms, corpus)).when(kind == "tool", F.exists(tools, lambda t: F.lower(t) == low) | F.contains(corpus, low))
-        .when(kind == "ticket", ticket_grounded(low, tickets, corpus)).otherwise(contained(low, terms) | F.contains(corpus, low) | co_occur(tokens, corpus))
+        F.when(kind == "path", path_grounded(low, terms, corpus)).when(kind == "tool", contained(low, tools) | F.contains(corpus, low))
+        .when(kind == "ticket", ticket_grounded(low, tickets, corpus)).otherwise(span_grounded(kind, low, none if commands is None else commands, corpus))
     )
 
 
-def message(kind: Column, claim: Column, corpus: Column) -> Column:
-    conflated = F.format_string("ticket %s is only known as an id", claim)
-    return F.when((kind == "ticket") & id_conflation(claim, corpus), conflated).otherwise(F.format_string("%s %s is not in the session", kind, claim))
+def literally_grounded(kind: Column, claim: Column, terms: Column, tickets: Column, tools: Column, corpus: Column, commands: Column | None = None) -> Column:
+    """The rule before composition: a path stands in a category or in the corpus; else as now."""
+    low = F.lower(claim)
+    return F.when(kind == "path", contained(low, terms) | F.contains(corpus, low)).otherwise(grounded(kind, claim, terms, tickets, tools, corpus, commands))
+
+
+#: Grading rules by name.
+GRADING = {"current": grounded, "literal": literally_grounded}
 
 
-def rewrite_conflations(text: Column, numbers: Column) -> Column:
-    """`#N` as `id N` for the numbers that are ids, and `#N (id N)` as `id N`."""
-    one = F.concat(F.lit(r"(?<![/\w])#("), F.array_join(numbers, "|"), F.lit(r")\b(?: \(id \1\))?"))
-    return F.when(F.size(numbers) > 0, F.regexp_replace(text, one, F.lit("id $1"))).otherwise(text)
+def message(kind: Column, claim: Column, conflated: Column) -> Column:
+    """What a finding says; a ticket known only as an id is named as such."""
+    number = F.substring(claim, 2, 16)
+    as_id = F.format_string("ticket '%s' is not in the event log, which contains '%s' only as an internal id", claim, number)
+    return F.when((kind == "ticket") & conflated, as_id).otherwise(F.format_string("%s not in the event log: '%s'", kind, claim))
 
 
-def coverage(targets: Column, digest: Column) -> Column:
-    """Share of the events whose target's first 60 characters stand in the digest; 1 for none."""
-    hit = F.size(F.filter(targets, lambda t: (t != "") & F.contains(normalise(digest), F.substring(normalise(t), 1, 60))))
-    return F.when(F.size(targets) == 0, F.lit(1.0)).otherwise(F.bround(hit / F.size(targets), 4))
+def rewrite_conflations(text: Column, numbers: Column, swaps: Column | None = None) -> Column:
+    """`#N` as `id N` for the numbers that are ids, `#N (id N)` as `id N`, and, where swaps (map<#N, M>)
+    says that M is the ticket, `#N (id M)` as `#M (id N)`. Comment markers are left alone."""
+    outside = r"(?![^<]*?-->)(?<![/\w])#("
+
+    def plain(t: Column) -> Column:
+        one = F.concat(F.lit(outside), F.array_join(numbers, "|"), F.lit(r")\b(?:[ \t]*(?i:\(id[ \t]+\1\)))?"))
+        return F.when(F.size(numbers) > 0, F.regexp_replace(t, one, F.lit("id $1"))).otherwise(t)
+
+    if swaps is None:
+        return plain(text)
+    marked = F.aggregate(
+        F.map_entries(swaps), text,
+        lambda acc, s: F.regexp_replace(acc, F.concat(F.lit(outside), F.substring(s["key"], 2, 16), F.lit(r")\b[ \t]*(?i:\(id[ \t]+"), s["value"], F.lit(r"\))")), F.concat(F.lit("\u0001"), s["value"], F.lit(" (id $1)"))),
+    )
+    return F.translate(plain(marked), "\u0001", "#")
+
+
+def edits(text: Column, numbers: Column, swaps: Column, first_line: int = 1) -> Column:
+    """array<struct<line, before, after>> of the references that rewrite_conflations changes, in order;
+    tokens alone, never the line around them."""
+    def of_line(line: Column, k: Column) -> Column:
+        found = _all(line, r"(?<![/\w\d])#[1-9]\d{0,5}\b(?:[ \t]*(?i:\(id[ \t]+[1-9]\d{0,5}\)))?")
+        pairs = F.transform(found, lambda x: F.struct((k + first_line).alias("line"), x.alias("before"), rewrite_conflations(x, numbers, swaps).alias("after")))
+        trimmed = F.transform(pairs, lambda p: F.when(
+            p["after"].endswith(F.regexp_extract(p["before"], ANNOTATION + "$", 0)) & p["after"].startswith("id ") & p["before"].contains("("),
+            F.struct(p["line"], F.regexp_extract(p["before"], r"^#\d+", 0).alias("before"), F.regexp_extract(p["after"], r"^id \d+", 0).alias("after")),
+        ).otherwise(p))
+        return F.filter(trimmed, lambda p: p["before"] != p["after"])
+
+    lines = F.split(F.regexp_replace(text, r"<!--[^\n]*?-->", ""), "\n")
+    return F.flatten(F.transform(lines, of_line))
+
+
+def coverage(targets: Column, digest: Column, tools: Column | None = None) -> Column:
+    """Share of the events whose target's first 60 characters, or whose tool, stand in the digest; 1 for
+    none. tools: the events' tools, in the targets' order."""
+    def share(text: Column) -> Column:
+        def hit(t: Column, i: Column) -> Column:
+            head = bound(normalise(t), lambda n: F.substring(n, 1, 60))
+            named = F.lit(False) if tools is None else F.contains(text, F.lower(F.get(tools, i)))
+            return bound(head, lambda h: (h != "") & F.contains(text, h)) | named
+
+        hits = F.size(F.filter(F.transform(targets, hit), lambda h: h))
+        return F.when(F.size(targets) == 0, F.lit(1.0)).otherwise(F.bround(hits / F.size(targets), 4))
+
+    return bound(normalise(digest), share)

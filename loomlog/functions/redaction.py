@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import bound, peel, whole_words
+
 # The marker, the key names and the shapes of secrets.
 MARK = "«redacted»"
 KEYS = (
@@ -37,24 +41,54 @@ RULES = [
 VALUE_GROUP = {"bearer": 1, "header": 5, "json": 2, "keyval": 2, "envvar": 2}
 
 
+#: Literals one of which a text holds, lower-cased, wherever the rule can match.
+GUARDS = {
+    "pem_block": ["-----begin"], "pem_truncated": ["-----begin"], "anthropic": ["sk-ant-"], "openai": ["sk-"], "github_pat": ["github_pat_"], "github": ["ghp_", "gho_", "ghu_", "ghs_", "ghr_"],
+    "gitlab": ["glpat-"], "slack": ["xoxb-", "xoxa-", "xoxp-", "xoxr-", "xoxs-", "xoxe-"], "aws_akid": ["akia", "asia"], "jwt": ["eyj"], "bearer": ["bearer"], "header": ["-h", "--header"],
+} | dict.fromkeys(["json", "keyval", "envvar"], ["key", "secret", "passw", "pwd", "token", "auth", "credential"])
+
+
+def folded(text: Column) -> Column:
+    """A text for the guards: upper, then lower case, as case-insensitive patterns compare letters."""
+    return F.lower(F.upper(text))
+
+
+def may_match(rule: str, low: Column) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in GUARDS[rule]])
+
+
 def redact(text: Column) -> Column:
-    for _, pattern, new in RULES:
-        text = F.regexp_replace(text, pattern, new)
-    return text
+    """The rules in order; a text without a rule's literals never meets its pattern. Markers add no
+    literal that a later rule looks for, so the guards read the text as it came."""
+
+    def fold(low: Column) -> Column:
+        one = F.array(text)
+        for rule in RULES:
+            one = F.transform(one, _ruled(low, *rule))
+        return F.get(one, F.lit(0))
+
+    return bound(folded(text), fold)
+
+
+def _ruled(low: Column, name: str, pattern: str, new: str):
+    return lambda t: F.when(may_match(name, low), F.regexp_replace(t, pattern, new)).otherwise(t)
 
 
 def with_redaction(df: DataFrame, text_col: str, out: str = "redacted", fires: str = "fires", net: str = "n_redacted") -> DataFrame:
     """Adds the redacted text, how often each rule fired (map) and the net new markers. Each rule
-    reads what the ones before it left, so every stage is a column of its own."""
+    reads what the ones before it left, so every stage is a column of its own, and is skipped where
+    the text holds none of the rule's literals or the rule does not fire."""
     names = []
-    df = df.withColumn("_r0", F.col(text_col))
+    df = df.withColumn("_r0", F.col(text_col)).withColumn("_low", folded(F.col(text_col)))
     for k, (name, pattern, new) in enumerate(RULES):
-        df = df.withColumn(f"_n{k}", F.regexp_count(F.col(f"_r{k}"), F.lit(pattern)).cast("long")).withColumn(f"_r{k + 1}", F.regexp_replace(F.col(f"_r{k}"), pattern, new))
-        names += [F.lit(name), F.col(f"_n{k}")]
+        text, fired = F.col(f"_r{k}"), F.col(f"_n{k}")
+        df = df.withColumn(f"_n{k}", F.when(may_match(name, F.col("_low")), F.regexp_count(text, F.lit(pattern)).cast("long")).otherwise(F.when(text.isNotNull(), 0)))
+        df = df.withColumn(f"_r{k + 1}", F.when(fired > 0, F.regexp_replace(text, pattern, new)).otherwise(text))
+        names += [F.lit(name), fired]
     last = F.col(f"_r{len(RULES)}")
     marks = F.regexp_count(last, F.lit(MARK)) - F.regexp_count(F.col(text_col), F.lit(MARK))
     df = df.withColumn(out, last).withColumn(fires, F.map_filter(F.create_map(*names), lambda k, n: n > 0)).withColumn(net, marks.cast("long"))
-    return df.drop(*[f"_r{k}" for k in range(len(RULES) + 1)], *[f"_n{k}" for k in range(len(RULES))])
+    return df.drop("_low", *[f"_r{k}" for k in range(len(RULES) + 1)], *[f"_n{k}" for k in range(len(RULES))])
 
 
 def captured(text: Column) -> Column:
@@ -63,7 +97,7 @@ def captured(text: Column) -> Column:
     for name, pattern, new in RULES:
         found.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(VALUE_GROUP.get(name, 0))))
         text = F.regexp_replace(text, pattern, new)
-    peeled = F.transform(F.flatten(F.array(*found)), lambda v: F.regexp_replace(v, r"^([\"'`]*)(.*?)\1$", "$2"))
+    peeled = F.transform(F.flatten(F.array(*found)), peel)
     return F.array_distinct(F.filter(peeled, lambda v: ~v.contains(MARK)))
 
 
@@ -72,7 +106,16 @@ def is_evidence(value: Column) -> Column:
 
 
 def cause(values: Column, corpus: Column) -> Column:
-    """Why a rendered text still needed redaction: the corpus held the value, the model wrote it, or
-    the values say too little."""
+    """Why a rendered text still needed redaction: the corpus held the value, the model wrote it, the
+    values say too little, or there is nothing to tell by (no value, or no corpus)."""
     telling = F.filter(values, is_evidence)
-    return F.when(F.size(telling) == 0, "inconclusive").when(F.exists(telling, lambda v: F.contains(corpus, v)), "extraction-miss").otherwise("model-output")
+    return (
+        F.when((F.size(values) > 0) & (F.size(telling) == 0), "inconclusive").when(F.exists(telling, lambda v: F.contains(corpus, v)), "extraction-miss")
+        .when(corpus.isNotNull() & (F.size(telling) > 0), "model-output").otherwise("undetermined")
+    )
+
+
+def excerpt(line: Column, start: Column, end: Column) -> Column:
+    """A window of whole words around a hit in a line of a redacted text, redacted once more. The text
+    is redacted whole before hits are looked for, so that no cut parts a secret from its key."""
+    return redact(whole_words(line, start, end))
