@@ -238,10 +238,10 @@ def whole_words(line: Column, start: Column, end: Column, width: int = 80) -> Co
     """At most `width` characters of a line around [start, end), from 0 on, cut between words; the
     stretch itself where its own word is longer."""
     def window(lo: Column, hi: Column) -> Column:
-        gap = F.locate(" ", line, lo + 1) - 1  # the first space from lo on
-        left = F.when((lo > 0) & (F.substring(line, lo, F.lit(1)) != " "), F.when(gap < 0, F.length(line)).otherwise(gap + 1)).otherwise(lo)
+        gap = F.instr(F.substring(line, lo + 1, F.length(line)), " ")  # to the first space from lo on
+        left = F.when((lo > 0) & (F.substring(line, lo, F.lit(1)) != " "), F.when(gap == 0, F.length(line)).otherwise(lo + gap)).otherwise(lo)
         head = F.substring(line, F.lit(1), hi)
-        back = F.length(head) - F.locate(" ", F.reverse(head))  # the last space before hi
+        back = F.length(head) - F.instr(F.reverse(head), " ")  # the last space before hi
         right = F.when((hi < F.length(line)) & (F.substring(line, hi + 1, F.lit(1)) != " "), F.when(F.contains(head, F.lit(" ")), back).otherwise(0)).otherwise(hi)
         own = F.substring(F.substring(line, start + 1, end - start), 1, width)
         return F.when((left > start) | (right < end), own).otherwise(F.trim(F.substring(line, left + 1, F.greatest(right - left, F.lit(0)))))
