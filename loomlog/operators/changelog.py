@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomlog.plans.folders import shared_folder
+
 
 def last_wins(df: DataFrame, key: list[str], order: list[str], tombstone: Column | None = None) -> DataFrame:
     """The last row of each key, unless it is a tombstone. A partial aggregate, not a window: no key's
@@ -46,11 +48,14 @@ def packages_drift(locked: DataFrame, deployed: DataFrame, ignore: tuple[str, ..
 
 
 def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """Names reachable from roots over edges (name, needs), the roots included."""
-    spark = edges.sparkSession
-    edges.createOrReplaceTempView("_loomlog_edges")
-    roots.createOrReplaceTempView("_loomlog_roots")
-    return spark.sql("WITH RECURSIVE r(name) AS (SELECT name FROM _loomlog_roots UNION ALL SELECT e.needs FROM _loomlog_edges e JOIN r ON e.name = r.name) SELECT DISTINCT name FROM r")
+    """Names reachable from roots over edges (name, needs), the roots included; cycles end, as a name is
+    followed once. Each round ends in a checkpoint in the shared folder."""
+    shared_folder(edges.sparkSession)
+    found = front = roots.select("name").where("name is not null").distinct().checkpoint()
+    while not front.isEmpty():
+        front = front.join(edges, "name").select(F.col("needs").alias("name")).where("name is not null").distinct().join(found, "name", "left_anti").checkpoint()
+        found = found.unionByName(front)
+    return found
 
 
 def adjacent_days(df: DataFrame, key: str, day: str, id_col: str) -> DataFrame:

@@ -70,14 +70,14 @@ def last_tasks(events: DataFrame, session: str = "session_id") -> DataFrame:
     return events.groupBy(session, "task_id").agg(F.max_by("status", F.when(F.coalesce("status", F.lit("")) != "", F.col("seq"))).alias("status"), F.min("seq").alias("first_seq"))
 
 
-def summarised(logs: DataFrame, complete: Callable[[str], str] | None = None, text: str = "text", out: str = "reply") -> DataFrame:
-    """Adds the model's reply. complete is called once for each row in Arrow batches; without it a
-    fixed reply stands in for a model."""
+def summarised(logs: DataFrame, complete: Callable[[list[str]], list[str]] | None = None, text: str = "text", out: str = "reply") -> DataFrame:
+    """Adds the model's reply. complete gets the texts of an Arrow batch at once and gives a reply for
+    each, so that it may send them together; without it a fixed reply stands in for a model."""
     if complete is None:
         stub = F.to_json(F.struct(F.substring(F.col(text), 1, 80).alias("asked"), F.array(F.lit("nothing recorded")).alias("done")))
         return logs.withColumn(out, stub)
     @F.pandas_udf(StringType())
     def call(texts: pd.Series) -> pd.Series:
-        return texts.map(complete)
+        return pd.Series(complete(texts.tolist()), dtype=object)
 
     return logs.withColumn(out, call(text))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,14 +104,54 @@ def sweep_identity(totals: DataFrame) -> DataFrame:
     return totals.withColumn("consistent", (F.col("written") == F.col("summarized") + F.col("suppressed") + F.col("placeholder") + F.col("pending")) & (F.col("discarded") == 0))
 
 
-def breaker(outcomes: list[str]) -> list[str]:
-    """Outcomes of a sweep in order with the circuit breaker: after two deferrals in a row nothing
-    more is attempted. Steers the driver's loop over batches; no rows pass through it."""
-    out, run = [], 0
-    for x in outcomes:
-        if run >= 2:
-            out.append("not_attempted")
+def sweep(rows: Iterable, attempt: Callable, deferred: Callable, answered: Callable, not_attempted) -> list:
+    """Results of a sweep in order, with the circuit breaker. attempt(row, allow_defer) handles a row;
+    deferred(result) says that the provider was down, answered(result) that it was there. The first
+    deferral makes its row a suspect: an answer later clears it and runs it again, without leave to
+    defer; a second deferral trips the breaker, and later rows give not_attempted(row). Steers the
+    driver's loop over batches; no table passes through it."""
+    results, suspect, tripped = [], None, False
+    for row in rows:
+        if tripped:
+            results.append(not_attempted(row))
             continue
-        run = run + 1 if x == "deferred" else 0
-        out.append(x)
-    return out
+        result = attempt(row, True)
+        results.append(result)
+        if deferred(result):
+            tripped = suspect is not None
+            suspect = suspect or (len(results) - 1, row)
+        elif answered(result) and suspect:
+            results[suspect[0]], suspect = attempt(suspect[1], False), None
+    up = any(answered(r) for r in results)
+    if suspect and up and not tripped:
+        results[suspect[0]] = attempt(suspect[1], False)
+    return results
+
+
+def breaker(outcomes: list[str]) -> list[str]:
+    """sweep() over logged outcomes: what becomes of each, where a re-run suspect counts as ok."""
+    return sweep(outcomes, lambda x, may: x if may else "ok", lambda x: x == "deferred", lambda x: x == "ok", lambda x: "not_attempted")
+
+
+def set_status(state: DataFrame, hit: Column, status: str, error: Column | None = None) -> DataFrame:
+    """Status and error of the hit rows, unconditionally."""
+    out = state.withColumn("status", F.when(hit, status).otherwise(F.col("status")))
+    return out if error is None else out.withColumn("error", F.when(hit, error).otherwise(F.col("error")))
+
+
+def count_attempt(state: DataFrame, hit: Column) -> DataFrame:
+    return state.withColumn("attempts", F.when(hit, F.col("attempts") + 1).otherwise(F.col("attempts")))
+
+
+def apply_outcomes(state: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """State after a batch of outcomes (path, outcome, offset): summarised and provisional rows move on,
+    pending ones count as summarised, and deferred ones are as if they had never been tried."""
+    x = state.join(outcomes.where("outcome <> 'deferred'"), "path", "left")
+    x = as_summarised(x, F.coalesce(F.col("outcome").isin("summarized", "pending"), F.lit(False)), F.col("offset"))
+    return as_provisional(x, F.coalesce(F.col("outcome") == "provisional", F.lit(False)), F.col("offset")).drop("outcome", "offset")
+
+
+def swept(ready_rows: DataFrame, orphans: DataFrame, limit: int | None = None, order: str = "path") -> DataFrame:
+    """What a sweep takes: scanned rows, then orphans, which share none with them; limit keeps the first."""
+    x = ready_rows.withColumn("_part", F.lit(0)).unionByName(orphans.withColumn("_part", F.lit(1)), allowMissingColumns=True).orderBy("_part", order).drop("_part")
+    return x if limit is None else x.limit(limit)

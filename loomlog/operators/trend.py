@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomlog.functions.text import ratio
@@ -30,18 +30,44 @@ def pass_stats(passed: Column, value: Column) -> list[Column]:
     return [graded.alias("graded"), good.alias("passed"), ratio(good, graded).alias("rate"), F.bround(F.avg(value), 4).alias("mean_value")]
 
 
-def nearest_rank(value: Column, q: float) -> Column:
-    return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {value._jc.toString()})")
-
-
-def interpolated(value: str, q: float) -> Column:
-    """Linear between ranks, cut to a whole number, 0 for no values."""
-    return F.coalesce(F.percentile(value, F.lit(q)).cast("long"), F.lit(0).cast("long"))
-
-
-def upper_median(value: str) -> Column:
-    """The value at n // 2 of the sorted ones, from a histogram of the group's distinct values."""
-    return F.element_at(F.sort_array(F.collect_list(value)), (F.floor(F.count(value) / 2) + 1).cast("int"))
+def order_statistics(df: DataFrame, group: list[str], value: str, ranks: dict[str, Column], cuts: int = 64) -> DataFrame:
+    """The exact values at ranks from 1 on (columns over n, the group's values), by group. Approximate
+    quantiles cut each group into parts; only the parts that hold a rank are counted value by value, so
+    that no task sorts a whole group. Null values count as none; a group of nulls alone has no row."""
+    x = df.where(F.col(value).isNotNull()).select(F.struct(*group).alias("g"), F.col(value).alias("v"))
+    probs = [k / cuts for k in range(1, cuts)]
+    edges = x.groupBy("g").agg(F.percentile_approx("v", probs, 1000).alias("edges"), F.count(F.lit(1)).alias("n"))
+    wide = edges.count() > 50_000
+    x = x.join(edges.select("g", "edges") if wide else F.broadcast(edges.select("g", "edges")), "g")  # 8 * cuts bytes a group
+    x = x.select("g", "v", F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("part"))
+    sizes = x.groupBy("g", "part").agg(F.count(F.lit(1)).alias("m"))
+    sizes = sizes.withColumn("upto", F.sum("m").over(Window.partitionBy("g").orderBy("part")))  # cuts rows a group at most
+    asked = edges.select("g", F.explode(F.array(*[F.struct(F.lit(k).alias("name"), r.cast("long").alias("rank")) for k, r in ranks.items()])).alias("a")).select("g", "a.*")
+    asked = asked.join(sizes, "g").where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("m"))).select("g", "part", "name", (F.col("rank") - F.col("upto") + F.col("m")).alias("rank"))
+    parts = asked.select("g", "part").distinct()
+    values = x.join(parts, ["g", "part"], "left_semi").groupBy("g", "part", "v").agg(F.count(F.lit(1)).alias("m"))
+    values = values.withColumn("upto", F.sum("m").over(Window.partitionBy("g", "part").orderBy("v")))
+    found = asked.join(values, ["g", "part"]).where(F.col("upto") >= F.col("rank")).groupBy("g").agg(*[F.min(F.when(F.col("name") == k, F.col("v"))).alias(k) for k in ranks])
+    return found.select("g.*", *ranks)
+
+
+def nearest_rank(q: float) -> Column:
+    """The rank of the smallest value that at least the share q of n values do not exceed."""
+    return F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("n")))
+
+
+def upper_median_rank() -> Column:
+    return F.floor(F.col("n") / 2) + 1
+
+
+def interpolated(df: DataFrame, group: list[str], value: str, q: float, out: str) -> DataFrame:
+    """(group..., out): the quantile linear between ranks, cut to a whole number."""
+    at = F.lit(q) * (F.col("n") - 1)
+    x = order_statistics(df, group, value, {"_lo": F.floor(at) + 1, "_hi": F.ceil(at) + 1})
+    n = df.where(F.col(value).isNotNull()).groupBy(F.struct(*group).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    x = x.withColumn("g", F.struct(*group)).join(n, "g")
+    lo, hi, part = F.col("_lo").cast("double"), F.col("_hi").cast("double"), at - F.floor(at)
+    return x.select(*group, F.when(part == 0, lo).otherwise((1 - part) * lo + part * hi).cast("long").alias(out))
 
 
 def category(value: Column, default: str = "unrecorded") -> Column:

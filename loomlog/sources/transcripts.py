@@ -5,9 +5,13 @@ number; a file is a few MB. Tables derived from them belong in Parquet."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomlog.functions.text import package_name, string_leaves
+
 EVENT_LOG = """
 schema_version int, session_id string, transcript_path string, project_dir string, agent string, cwd string, git_branch string, version string, entrypoint string, started_at string, ended_at string,
 turns array<struct<turn_uuid:string,index:int,started_at:string,ended_at:string,user_text:string,queued_input:array<string>,assistant_text:array<string>,
@@ -102,9 +106,64 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def overwrite(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replaces a table, or only the partitions that df holds; readers see the old or the new."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partitions else "static")
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    """Replaces a table: it is written beside the old one, which moves away before the new one takes its
+    place, so that a failed write leaves the old one whole, and a crash between the moves both. With
+    partitions only those that df holds are replaced, each as its files are committed."""
+    if partitions:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+        return
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(new)
+    spark = df.sparkSession
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(fs_path(path))
+    if had and not fs.rename(fs_path(path), fs_path(old)):
+        raise OSError(f"cannot move {path} away")
+    if not fs.rename(fs_path(new), fs_path(path)):
+        raise OSError(f"{path} is now in {old}, its new content in {new}")
+    if had:
+        fs.delete(fs_path(old), True)
+
+
+def backup(spark: SparkSession, path: str, root: str) -> str:
+    """Copies a table's files into a fresh folder below root, never one that exists; its path."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/{spark.sql('select current_timestamp() t').first().t:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
+    jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+    return target.toString()
+
+
+def event_log(logs: DataFrame, session: str) -> DataFrame:
+    """The log of one session: an equality that reaches the scan of a table partitioned or sorted by it."""
+    return logs.where(F.col("session_id") == session)
+
+
+def flattened_digest(text: Column) -> Column:
+    """A digest file as it is graded: a JSON object as its texts, one a line; anything else as it is."""
+    return F.when(F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False)), F.array_join(string_leaves(text), "\n")).otherwise(text)
+
+
+def package_headers(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """(path, name, version) of package metadata files: header lines alone, up to the first empty one;
+    names in their normal form. Files without both are left out."""
+    head = F.split(F.regexp_replace(F.col(text), r"\r\n?", "\n"), r"\n\n")[0]
+    x = files.select(path, package_name(F.trim(F.regexp_extract(head, r"(?im)^Name:(.*)$", 1))).alias("name"), F.trim(F.regexp_extract(head, r"(?im)^Version:(.*)$", 1)).alias("version"))
+    return x.where("name <> '' AND version <> ''")
+
+
+def contained(path: Column, root: str) -> Column:
+    """Whether a path stays below a root once `.` and `..` are resolved; null for a null path."""
+    parts = F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(parts, empty, lambda acc, p: F.when((p == "..") & (F.size(acc) > 0), F.slice(acc, F.lit(1), F.size(acc) - 1)).when(p == "..", acc).otherwise(F.array_append(acc, p)))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.lit("/")).startswith(root.rstrip("/") + "/")
+
+
+def presence(have: Column, error: Column) -> Column:
+    """present, absent or unreadable: a source that could not be read is not one that is not there."""
+    return F.when(error.isNotNull(), "unreadable").when(F.coalesce(have, F.lit(False)), "present").otherwise("absent")
 
 
 def rebuilt_manifest(blocks: DataFrame) -> DataFrame:

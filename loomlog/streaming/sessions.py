@@ -41,18 +41,9 @@ def progress(stream: DataFrame, key: str, size: str) -> DataFrame:
     return stream.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, last_offset long, reopened long", "last_offset long, reopened long", "update", GroupStateTimeout.NoTimeout)
 
 
-def append_new(stream: DataFrame, key: str, out: str, checkpoint: str, ts: str | None = None):
-    """Starts a query that appends rows whose key the table does not hold yet; a replayed batch adds
-    none twice."""
-    def put(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            have = spark.read.parquet(out).select(key)
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            have = None
-        new = batch.dropDuplicates([key])
-        (new if have is None else new.join(have, key, "left_anti")).write.mode("append").parquet(out)
-
-    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def append_new(stream: DataFrame, key: str, out: str, checkpoint: str, ts: str | None = None, delay: str = "7 days"):
+    """Starts a query that appends each key's first row once. The keys seen are the stream's state, which
+    a restart reads back, and the file sink's log leaves a replayed batch out. Without ts every key is
+    remembered, so that a late repeat is never added; with it, for the delay after its event time."""
+    first = stream.dropDuplicates([key]) if ts is None else once(stream, key, ts, delay)
+    return first.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()

@@ -1,4 +1,6 @@
 import json
+import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -80,7 +82,13 @@ def test_state(spark):
     assert state.forget(s, done, hit)[0].count() == 1
     turns = spark.createDataFrame([("u1",), ("u3",), ("u3",)], "turn_uuid string")
     assert [r.turn_uuid for r in state.insert_new(done, turns).collect()] == ["u3"]
-    assert state.breaker(["ok", "deferred", "ok", "deferred", "deferred", "ok"]) == ["ok", "deferred", "ok", "deferred", "deferred", "not_attempted"]
+    assert state.breaker(["ok", "deferred", "ok", "deferred", "skipped", "deferred", "ok"]) == ["ok", "ok", "ok", "deferred", "skipped", "deferred", "not_attempted"]
+    assert state.breaker(["deferred", "skipped"]) == ["deferred", "skipped"] and state.breaker(["ok", "deferred", "skipped"]) == ["ok", "ok", "skipped"]
+    outcomes = spark.createDataFrame([("/p/a.jsonl", "deferred", 99), ("/p/b.jsonl", "pending", 50)], "path string, outcome string, offset long")
+    got = {r.path: (r.status, r.last_offset, r.attempts) for r in state.apply_outcomes(s, outcomes).collect()}
+    assert got == {"/p/a.jsonl": ("summarized", 10, 1), "/p/b.jsonl": ("summarized", 50, 0)}
+    assert {r.status for r in state.count_attempt(state.set_status(s, hit, "failed"), hit).where("attempts = 3").collect()} == {"failed"}
+    assert [r.path for r in state.swept(found.limit(2), found.where("path like '%c%'"), 3).collect()] == ["/p/a.jsonl", "/p/b.jsonl", "/p/c.jsonl"]
 
 
 def test_change_log(spark):
@@ -90,6 +98,7 @@ def test_change_log(spark):
     assert {(r.k, r.status, r.fields) for r in changelog.drift(e, a, ["k"], ["v", "w"]).collect()} == {(1, "missing", ""), (2, "changed", "v,w"), (4, "stale", "")}
     edges, roots = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y")], "name string, needs string"), spark.createDataFrame([("a",)], "name string")
     assert {r.name for r in changelog.closure(edges, roots).collect()} == {"a", "b", "c"}
+    assert {r.name for r in changelog.closure(edges.union(spark.createDataFrame([("c", "a"), ("b", "b"), ("c", None)], edges.schema)), roots).collect()} == {"a", "b", "c"}
 
 
 BODY = "<!-- block session=s1 turn=u1 transcript=/t -->\nfirst\n<!-- /block turn=u1 -->\n<!-- block session=s2 turn=u2 transcript=/t provisional=pending -->\ntorn\n<!-- block session=s3 turn=u3 transcript=/t -->\nsays <!-- /block turn=u9 -->\n<!-- /block turn=u3 -->"
@@ -118,7 +127,7 @@ def test_digests(spark):
     a, b, c = [r.d for r in d.collect()]
     assert (a.asked, a.done, a.found, a.tickets, a.error) == ("q", ["a"], ["one"], ["1", "true"], None) and b.error == "not JSON" and c.error == "done is empty"
     assert d.limit(1).select(digest.render(F.col("d"))).first()[0].startswith("**Asked:** q\n\n**Done**\n- a")
-    assert digest.summarised(spark.createDataFrame([("t",)], "text string"), lambda x: x + "!").first().reply == "t!"
+    assert digest.summarised(spark.createDataFrame([("t",)], "text string"), lambda xs: [x + "!" for x in xs]).first().reply == "t!"
     choice = spark.range(1).select(digest.choose(F.lit(False), F.lit("Done with all of it."), F.lit("")), digest.choose(F.lit(True), F.lit("x"), F.lit("")), digest.choose(F.lit(False), F.lit("wrote N docs"), F.lit(""))).first()
     assert tuple(choice) == ("verbatim", "pending", "fallback")
 
@@ -136,6 +145,34 @@ def test_trend(spark):
     assert probe.columns == ["session_id", "asked", "grounded"]
 
 
+def test_order_statistics_equal_sorting(spark):
+    rng = random.Random(5)
+    rows = [(g, rng.choice([rng.random(), rng.randrange(5), None])) for g in ("a", "b", None) for _ in range(400)] + [("c", 1.0), ("d", None)]
+    df = spark.createDataFrame([(g, v if v is None else float(v)) for g, v in rows], "g string, v double")
+    got = {r.g: (r.p95, r.mid) for r in trend.order_statistics(df, ["g"], "v", {"p95": trend.nearest_rank(0.95), "mid": trend.upper_median_rank()}, cuts=8).collect()}
+    for g in ("a", "b", None, "c"):
+        own = sorted(v for x, v in rows if x == g and v is not None)
+        assert got[g] == (own[math.ceil(0.95 * len(own)) - 1], own[len(own) // 2])
+    assert "d" not in got
+    whole = spark.createDataFrame([("a", 10.0 * k) for k in range(1, 8)], "g string, v double")
+    assert trend.interpolated(whole, ["g"], "v", 0.9, "p90").first().p90 == 64
+
+
+def test_tables_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (3, 5):
+        transcripts.overwrite(spark.range(n), path)
+        assert spark.read.parquet(path).count() == n
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    again = transcripts.backup(spark, path, str(tmp_path / "b")), transcripts.backup(spark, path, str(tmp_path / "b"))
+    assert again[0] != again[1] and spark.read.parquet(again[0]).count() == 5
+    one = spark.createDataFrame([('{"a":["b"]}', "/r/x/../y", None), ("plain", "/r/../etc", "denied")], "text string, path string, error string")
+    got = one.select(transcripts.flattened_digest(F.col("text")).alias("f"), transcripts.contained(F.col("path"), "/r").alias("c"), transcripts.presence(F.lit(False), F.col("error")).alias("p")).collect()
+    assert [(r.f, r.c, r.p) for r in got] == [("a\nb", True, "absent"), ("plain", False, "unreadable")]
+    heads = spark.createDataFrame([("m", "Metadata-Version: 2.1\nName: A_b\nVersion: 1.0\n\nName: other"), ("n", "Name: x\n")], "path string, text string")
+    assert [tuple(r) for r in transcripts.package_headers(heads).collect()] == [("m", "a-b", "1.0")]
+
+
 def test_streams(spark, tmp_path):
     rows = spark.createDataFrame([("a", 5), ("a", 9), ("b", 1)], "path string, size long")
     rows.write.parquet(str(tmp_path / "in"))
