@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import plain_line
+from .text import bound, plain_line
 
 # Placeholders, template signatures, residue patterns, limits.
 PLACEHOLDER = r"<[a-zA-Z][a-zA-Z0-9 _./-]{0,40}>"
@@ -57,10 +57,12 @@ def template_signature(text: Column) -> Column:
 
 def overlap_keys(text: Column) -> Column:
     """Three consecutive lines of at least twenty characters each, as one key."""
-    lines = F.filter(F.transform(F.split(text, "\n"), plain_line), lambda x: F.length(x) >= OVERLAP_LENGTH)
-    n = F.size(lines)
-    at = F.when(n >= OVERLAP_LINES, F.sequence(F.lit(1), F.greatest(n - OVERLAP_LINES + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda k: F.array_join(F.slice(lines, k, OVERLAP_LINES), "\n"))
+    def threes(lines: Column) -> Column:
+        n = F.size(lines)
+        at = F.when(n >= OVERLAP_LINES, F.sequence(F.lit(1), F.greatest(n - OVERLAP_LINES + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda k: F.array_join(F.slice(lines, k, OVERLAP_LINES), "\n"))
+
+    return bound(F.filter(F.transform(F.split(text, "\n"), plain_line), lambda x: F.length(x) >= OVERLAP_LENGTH), threes)
 
 
 def signal(text: Column, overlaps: Column | None = None) -> Column:

@@ -5,32 +5,14 @@ log, documents of digests and benchmark of source texts."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomlog.functions import contamination, grounding, redaction, references, text
 from loomlog.operators import blocks, changelog, digest, sessions, state, survey, trend
+from loomlog.plans.registry import QUERIES, SQL, query, t
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with its SQL."""
-
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return put
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["QUERIES", "SQL"]
 
 
 # --------------------------------------------------------------------------- sessions
@@ -168,16 +150,19 @@ def state_upsert(spark, d):
     return out.select("user_id", F.coalesce("label", F.lit("")).alias("label"), "size_bytes", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("last_ts"))
 
 
-@query("SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-16')")
+@query("""SELECT event_id, user_id FROM events AS e WHERE ts >= TIMESTAMP '2024-01-16' AND NOT EXISTS (
+  SELECT 1 FROM events AS o WHERE o.ts < TIMESTAMP '2024-01-16' AND o.user_id = e.user_id AND o.event_type = e.event_type AND o.ts >= TIMESTAMP '2024-01-12')""")
 def unprocessed_anti(spark, d):
     e = t(spark, d, "events")
-    return state.unprocessed(e.where(F.col("ts") >= _CUT), e.where(F.col("ts") < _CUT), "user_id").select("event_id", "user_id")
+    done = e.where((F.col("ts") < _CUT) & (F.col("ts") >= "2024-01-12"))
+    return state.unprocessed(e.where(F.col("ts") >= _CUT), done, ["user_id", "event_type"]).select("event_id", "user_id")
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_nationkey IN (SELECT n_nationkey FROM nation)")
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') AND c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 1)")
 def orphaned_semi_anti(spark, d):
     c = t(spark, d, "customer").withColumn("path", F.col("c_custkey")).withColumn("session_id", F.col("c_nationkey"))
-    out = state.orphaned(c, t(spark, d, "orders").select(F.col("o_custkey").alias("path")), t(spark, d, "nation").select(F.col("n_nationkey").alias("session_id")))
+    files = t(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("path"))
+    out = state.orphaned(c, files, t(spark, d, "nation").where("n_regionkey <> 1").select(F.col("n_nationkey").alias("session_id")))
     return out.select("c_custkey", "c_nationkey")
 
 
@@ -259,10 +244,13 @@ def refs_extract(spark, d):
     return p.select("p_partkey", F.array_join(r["tickets"], ",").alias("tickets"), F.array_join(r["prs"], ",").alias("prs"))
 
 
-@query(r"""SELECT page_id, rtrim(regexp_extract(url || ').', 'https?://[^\s''"<>)\]}]+'), '.,);') AS first_url FROM pages""")
+@query(r"""SELECT page_id, count(u) AS n_urls, count(DISTINCT u) AS n_distinct, sha256(coalesce(string_agg(DISTINCT u, ' ' ORDER BY u), '')) AS urls_sha FROM (
+  SELECT page_id, unnest(CASE WHEN len(f) = 0 THEN [NULL] ELSE f END) AS u FROM (SELECT page_id, list_transform(regexp_extract_all(coalesce(html, '') || ' (' || url || ').', 'https?://[^\s''"<>)\]}]+'), lambda x: rtrim(x, '.,);')) AS f FROM pages)) GROUP BY page_id""")
 def url_rollup(spark, d):
-    found = references.urls(F.concat("url", F.lit(").")))
-    return t(spark, d, "pages").select("page_id", F.coalesce(F.try_element_at(found, F.lit(1)), F.lit("")).alias("first_url"))
+    u = references.urls(F.concat(F.coalesce("html", F.lit("")), F.lit(" ("), "url", F.lit(").")))
+    own = t(spark, d, "pages").select("page_id", u.alias("u"))
+    every = F.array_join(F.array_sort(F.array_distinct("u")), " ")
+    return own.select("page_id", F.size("u").cast("long").alias("n_urls"), F.size(F.array_distinct("u")).cast("long").alias("n_distinct"), F.sha2(every, 256).alias("urls_sha"))
 
 
 _LINES = "SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(trim(x), '^[-*# ]+', ''))), lambda x: length(x) >= 20) AS ls FROM documents"
@@ -271,24 +259,31 @@ _THREES = f"SELECT DISTINCT doc_id, md5(array_to_string(list_slice(ls, k, k + 2)
 
 @query(f"SELECT doc_id, count(*) AS shared FROM ({_THREES}) WHERE h IN (SELECT h FROM ({_THREES}) GROUP BY h HAVING count(*) > 1) GROUP BY doc_id")
 def line_overlap(spark, d):
-    keys = t(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(contamination.overlap_keys(F.col("text")))).alias("key")).select("doc_id", F.md5("key").alias("h"))
-    often = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return keys.join(often.select("h"), "h", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared"))
+    # 128 bits stand for the lines; a partial count keeps the ids of keys that one document holds from the shuffle
+    key = F.explode(F.array_distinct(contamination.overlap_keys(F.col("text")))).alias("key")
+    keys = t(spark, d, "documents").select("doc_id", key).select("doc_id", F.xxhash64("key").alias("a"), F.xxhash64(F.lit(1), "key").alias("b"))
+    often = keys.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return keys.join(often.select("a", "b"), ["a", "b"], "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared"))
 
 
 _GRAMS = "SELECT DISTINCT {id}, md5(array_to_string(list_slice(w, k, k + 7), ' ')) AS h FROM (SELECT {id}, string_split(lower(text), ' ') AS w FROM {tab}), unnest(range(1, len(w) - 6)) AS u(k)"
 
 
 def _grams(df: DataFrame, id_: str) -> DataFrame:
+    """Distinct (id, a, b): 128 bits for each run of eight words."""
     w = df.select(id_, F.split(F.lower("text"), " ", -1).alias("w")).where(F.size("w") >= 8)
     at = F.sequence(F.lit(1), F.size("w") - 7)
-    return w.select(id_, F.explode(F.array_distinct(F.transform(at, lambda k: F.md5(F.array_join(F.slice("w", k, 8), " "))))).alias("h"))
+    each = F.transform(at, lambda k: F.struct(F.xxhash64(F.slice("w", k, 8)).alias("a"), F.xxhash64(F.lit(1), F.slice("w", k, 8)).alias("b")))
+    return w.select(id_, F.explode(each).alias("h")).select(id_, "h.a", "h.b")
 
 
 @query(f"SELECT doc_id, count(DISTINCT item_id) AS items FROM ({_GRAMS.format(id='doc_id', tab='documents')}) JOIN ({_GRAMS.format(id='item_id', tab='benchmark')}) USING (h) GROUP BY doc_id")
 def ngram_contamination(spark, d):
-    hit = _grams(t(spark, d, "documents"), "doc_id").join(_grams(t(spark, d, "benchmark"), "item_id"), "h")
-    return hit.groupBy("doc_id").agg(F.countDistinct("item_id").alias("items"))
+    # the benchmark's grams are counted before they are broadcast; then no document's grams are shuffled
+    items = _grams(t(spark, d, "benchmark"), "item_id").distinct()
+    small = items.count() <= 1_000_000  # three numbers a row
+    hit = _grams(t(spark, d, "documents"), "doc_id").join(F.broadcast(items) if small else items, ["a", "b"])
+    return hit.select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("items"))
 
 
 @query(r"""SELECT page_id, count(*) FILTER (regexp_matches(l, '<[a-zA-Z][a-zA-Z0-9 _./-]{0,40}>')) AS placeholder_lines, count(*) AS lines FROM (SELECT page_id, unnest(string_split(html, chr(10))) AS l FROM pages) GROUP BY page_id""")
@@ -313,47 +308,56 @@ def echo_islands(spark, d):
 _CLASS = "CASE WHEN regexp_full_match(w, '[0-9]+') THEN 'number' WHEN regexp_matches(w, '[^a-zA-Z0-9.,]') THEN 'code' ELSE 'word' END"
 
 
-@query(f"SELECT lang, {_CLASS} AS kind, count(DISTINCT w) AS claims FROM (SELECT lang, unnest(string_split(text, ' ')) AS w FROM documents) WHERE w <> '' GROUP BY ALL")
+@query("""WITH p AS (SELECT p_partkey::BIGINT AS k FROM part WHERE p_partkey > 0 AND p_partkey < 1000000)
+  SELECT k AS p_partkey, 'path' AS kind, '/srv/p' || k || '/main.py' AS claim FROM p UNION ALL SELECT k, 'tool', 'Bash' FROM p UNION ALL SELECT k, 'ticket', '#' || k FROM p
+  UNION ALL SELECT k, 'command', 'git log -n ' || k FROM p UNION ALL SELECT k, 'code', 'v' || k || '=f(x)' FROM p UNION ALL SELECT k, 'identifier', 'state_' || k FROM p""")
 def claims_distinct(spark, d):
-    x = t(spark, d, "documents").select("lang", F.explode(F.array_distinct(F.split("text", " ", -1))).alias("w")).where("w <> ''")
-    kind = F.when(F.col("w").rlike("^[0-9]+$") & ~F.col("w").contains("\n"), "number").when(F.col("w").rlike("[^a-zA-Z0-9.,]"), "code").otherwise("word")
-    return x.groupBy("lang", kind.alias("kind")).agg(F.countDistinct("w").alias("claims"))
+    k = F.col("p_partkey").cast("long").cast("string")
+    said = F.concat(F.lit("Edited /srv/p"), k, F.lit("/main.py. Ran `git log -n "), k, F.lit("`, `v"), k, F.lit("=f(x)` and `state_"), k, F.lit("` twice: `state_"), k, F.lit("`; `ab` for #"), k, F.lit(" with Bash and Bash"))
+    p = t(spark, d, "part").where("p_partkey > 0 AND p_partkey < 1000000")
+    x = p.select(F.col("p_partkey").cast("long").alias("p_partkey"), F.explode(grounding.claims(said)).alias("c"))
+    return x.select("p_partkey", "c.kind", "c.claim")
 
 
-@query("""SELECT doc_id, count(*) AS sentences, count(*) FILTER (contains(replace(text, chr(10), ' '), s)) AS grounded FROM (
-  SELECT doc_id, text, unnest(list_slice(string_split(text, '. '), 2, 6)) AS s FROM documents) GROUP BY doc_id""")
+@query("""WITH c AS (SELECT conv_id, coalesce(list(lower(text) ORDER BY turn) FILTER (role = 'user'), []) AS terms, coalesce(list(lower(text) ORDER BY turn) FILTER (role <> 'user'), []) AS own FROM conversations GROUP BY conv_id),
+  s AS (SELECT conv_id, terms, unnest(list_distinct(flatten(list_transform(own, lambda x: string_split(x, '. '))))) AS s FROM c)
+  SELECT conv_id, count(*) AS claims, count(*) FILTER (len(list_filter(terms, lambda x: x <> '' AND (contains(x, s) OR contains(s, x)))) > 0) AS grounded FROM s GROUP BY conv_id""")
 def ground_containment(spark, d):
-    corpus = F.regexp_replace("text", "\n", " ")
-    x = t(spark, d, "documents").select("doc_id", corpus.alias("c"), F.slice(F.split("text", r"\. ", -1), 2, 5).alias("s"))
-    n = F.size(F.filter("s", lambda s: F.contains(F.col("c"), s)))
-    return x.where(F.size("s") > 0).select("doc_id", F.size("s").cast("long").alias("sentences"), n.cast("long").alias("grounded"))
+    said = F.collect_list(F.struct("turn", "role", F.lower("text").alias("text")))
+    x = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(said).alias("x"))
+    of = lambda user: F.transform(F.filter("x", lambda s: (s["role"] == "user") == user), lambda s: s["text"])
+    x = x.select("conv_id", of(F.lit(True)).alias("terms"), F.explode(F.array_distinct(F.flatten(F.transform(of(F.lit(False)), lambda s: F.split(s, r"\. ", -1))))).alias("s"))
+    return x.groupBy("conv_id").agg(F.count(F.lit(1)).alias("claims"), F.count_if(grounding.contained(F.col("s"), F.col("terms"))).alias("grounded"))
 
 
-@query("""SELECT item_id, docs, round_even(docs / total, 4) AS share, docs >= 1 AS covered FROM (SELECT item_id, count(doc_id) AS docs FROM (SELECT item_id, substr(text, 1, 60) AS p FROM benchmark)
-  LEFT JOIN documents ON contains(text, p) GROUP BY item_id), (SELECT count(*) AS total FROM documents)""")
+@query("""WITH n AS (SELECT *, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS norm FROM conversations),
+  g AS (SELECT conv_id, lower(trim(regexp_replace(coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'assistant'), ''), '\\s+', ' ', 'g'))) AS own FROM conversations GROUP BY conv_id),
+  c AS (SELECT conv_id, round_even(count(*) FILTER (norm <> '' AND contains(own, substr(norm, 1, 60))) / count(*), 4) AS coverage FROM n JOIN g USING (conv_id) GROUP BY conv_id)
+  SELECT conv_id, coverage, coverage >= 0.1 AS covered FROM c""")
 def coverage_floor(spark, d):
-    # phrases are looked up by their first eight words, so neither side is crossed with the other
-    b = t(spark, d, "benchmark").select("item_id", F.substring("text", 1, 60).alias("p"))
-    key = F.split("p", " ", -1)
-    b = b.withColumn("k", F.element_at(key, 2)).withColumn("skip", F.lit(1))
-    docs = t(spark, d, "documents")
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"[ \n]", -1))).alias("k"))
-    near = b.join(words, "k").select("item_id", "p", "doc_id").join(docs.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("p")))
-    hits = near.groupBy("item_id").agg(F.count(F.lit(1)).alias("docs"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
-    x = b.select("item_id").join(hits, "item_id", "left").withColumn("docs", F.coalesce("docs", F.lit(0))).join(F.broadcast(total))
-    return x.select("item_id", "docs", F.bround(F.col("docs") / F.col("total"), 4).alias("share"), (F.col("docs") >= 1).alias("covered"))
-
-
-@query("""SELECT conv_id, turn, CASE WHEN a > 0 AND b > 0 THEN greatest(a + 3, b + 3) - least(a, b) END AS span FROM (SELECT conv_id, turn, instr(text, ' en')::BIGINT AS a, instr(text, ' de')::BIGINT AS b FROM conversations)""")
+    # a conversation's turns are its events, what its assistant says is its digest; the operator looks for the first 60 characters of a target
+    x = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("x"))
+    own = F.array_join(F.transform(F.filter("x", lambda s: s["role"] == "assistant"), lambda s: s["text"]), " ")
+    c = grounding.coverage(F.transform("x", lambda s: s["text"]), own)
+    return x.select("conv_id", c.alias("coverage")).withColumn("covered", F.col("coverage") >= grounding.COVERAGE_FLOOR)
+
+
+@query("""WITH s AS (SELECT conv_id, turn, string_split(text, ' en') AS a, string_split(text, 'de ') AS b FROM conversations),
+  o AS (SELECT conv_id, turn, 0 AS token, unnest(list_transform(range(1, len(a)), lambda k: len(array_to_string(a[1:k], ' en')))) AS p, 3 AS n FROM s
+    UNION ALL SELECT conv_id, turn, 1, unnest(list_transform(range(1, len(b)), lambda k: len(array_to_string(b[1:k], 'de ')))), 3 FROM s),
+  w AS (SELECT *, max(CASE WHEN token = 0 THEN p END) OVER v AS x, max(CASE WHEN token = 1 THEN p END) OVER v AS y FROM o WINDOW v AS (PARTITION BY conv_id, turn ORDER BY p, p + n, token ROWS UNBOUNDED PRECEDING))
+  SELECT c.conv_id, c.turn, CAST(min(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN p + n - least(x, y) END) AS BIGINT) AS span FROM conversations AS c LEFT JOIN w ON w.conv_id = c.conv_id AND w.turn = c.turn GROUP BY ALL""")
 def cooccurrence_span(spark, d):
-    a, b = F.instr("text", " en").cast("long"), F.instr("text", " de").cast("long")
-    return t(spark, d, "conversations").select("conv_id", "turn", F.when((a > 0) & (b > 0), F.greatest(a + 3, b + 3) - F.least(a, b)).alias("span"))
+    span = grounding.covering_span(F.array(F.lit(" en"), F.lit("de ")), F.col("text"))
+    return t(spark, d, "conversations").select("conv_id", "turn", span.cast("long").alias("span"))
 
 
-@query("SELECT doc_id, CASE WHEN contains(head, '|') OR contains(head, '>') OR contains(head, '<') OR contains(head, ';') OR contains(head, '&&') OR contains(head, '$(') OR regexp_matches(head, '^x[A-Za-z0-9_.-]*[ \\t\\n]+-') THEN 'command' WHEN regexp_matches(head, '[()\\[\\]{}=]') THEN 'code' ELSE 'identifier' END AS kind FROM (SELECT doc_id, 'x' || substr(text, 1, 40) AS head FROM documents)")
+@query(r"""WITH l AS (SELECT lang, unnest(string_split(text, chr(10))) AS s FROM documents), w AS (SELECT lang, s, regexp_split_to_array(trim(s), '[ \t\n\f\r]+') AS w FROM l WHERE s <> '')
+  SELECT lang, CASE WHEN contains(s, '|') OR contains(s, '&&') OR contains(s, '>') OR contains(s, '<') OR contains(s, ';') OR contains(s, '$(') OR list_contains(['""" + "', '".join(grounding.BINARIES) + r"""'], w[1])
+    OR (coalesce(starts_with(w[2], '-'), false) AND regexp_full_match(w[1], '[A-Za-z_][0-9A-Za-z_.-]*')) THEN 'command' WHEN regexp_matches(s, '[()\[\]{}=]') THEN 'code' ELSE 'identifier' END AS kind, count(*) AS n FROM w GROUP BY ALL""")
 def span_classes(spark, d):
-    return t(spark, d, "documents").select("doc_id", grounding.classify_span(F.concat(F.lit("x"), F.substring("text", 1, 40))).alias("kind"))
+    x = t(spark, d, "documents").select("lang", F.explode(F.split("text", "\n")).alias("s")).where("s <> ''")
+    return x.groupBy("lang", grounding.classify_span(F.col("s")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --------------------------------------------------------------------------- trends
@@ -394,17 +398,17 @@ def qc_by_bucket_rollup(spark, d):
 
 @query("SELECT event_type, quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.5) AS p50 FROM events GROUP BY event_type")
 def percentile_nearest_rank(spark, d):
-    return t(spark, d, "events").groupBy("event_type").agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY value)").alias("p95"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY value)").alias("p50"))
+    return trend.order_statistics(t(spark, d, "events"), ["event_type"], "value", {"p95": trend.nearest_rank(0.95), "p50": trend.nearest_rank(0.5)})
 
 
 @query("SELECT l_returnflag, trunc(quantile_cont(l_extendedprice, 0.9))::BIGINT AS p90 FROM lineitem GROUP BY l_returnflag")
 def percentile_interp(spark, d):
-    return t(spark, d, "lineitem").groupBy("l_returnflag").agg(trend.interpolated("l_extendedprice", 0.9).alias("p90"))
+    return trend.interpolated(t(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", 0.9, "p90")
 
 
 @query("SELECT o_custkey, list_extract(list_sort(list(o_totalprice)), (count(*) // 2 + 1)::BIGINT) AS median FROM orders GROUP BY o_custkey")
 def upper_median(spark, d):
-    return t(spark, d, "orders").groupBy("o_custkey").agg(trend.upper_median("o_totalprice").alias("median"))
+    return trend.order_statistics(t(spark, d, "orders"), ["o_custkey"], "o_totalprice", {"median": trend.upper_median_rank()})
 
 
 @query("SELECT l_orderkey, least(greatest(ceil(count(*) * 1.5)::BIGINT, 4), 40)::BIGINT AS cap FROM lineitem GROUP BY l_orderkey")
@@ -466,11 +470,12 @@ def safe_stems(spark, d):
     return t(spark, d, "orders").select("o_orderkey", text.safe_stem(name, F.col("o_orderkey").cast("string")).alias("stem"))
 
 
-@query("""SELECT conv_id, least(count(*) FILTER (role = 'assistant'), 2)::BIGINT AS done, greatest(count(*) FILTER (role = 'assistant') - 2, 0)::BIGINT AS truncated FROM conversations GROUP BY conv_id""")
+@query("""WITH a AS (SELECT conv_id, list(text ORDER BY turn) FILTER (role = 'assistant') AS x FROM conversations GROUP BY conv_id)
+  SELECT conv_id, least(coalesce(len(x), 0), 2)::BIGINT AS done, greatest(coalesce(len(x), 0) - 2, 0)::BIGINT AS truncated, sha256(array_to_string(coalesce(x, [])[1:2], chr(10))) AS kept_sha FROM a""")
 def digest_caps(spark, d):
-    own = F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", F.struct("turn", F.substring("text", 1, 80).alias("x"))))), lambda s: s["x"])
+    own = F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", F.struct("turn", "text")))), lambda s: s["text"])
     x = t(spark, d, "conversations").groupBy("conv_id").agg(own.alias("items")).withColumn("c", digest.apply_cap(F.col("items"), F.lit(2), bounded=False))
-    return x.select("conv_id", F.size("c.items").cast("long").alias("done"), F.col("c.truncated").cast("long").alias("truncated"))
+    return x.select("conv_id", F.size("c.items").cast("long").alias("done"), F.col("c.truncated").cast("long").alias("truncated"), F.sha2(F.array_join("c.items", "\n"), 256).alias("kept_sha"))
 
 
 @query("SELECT p_partkey, count(*) AS n, p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R') AS returned FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY p_partkey")
@@ -499,14 +504,14 @@ def session_document(spark, d):
     return x.select("c_custkey", F.size("orders").cast("long").alias("n_orders"), last.cast("long").alias("last_order"), F.size("nations").cast("long").alias("n_nations"))
 
 
-@query("""SELECT least, count(*) AS spans, count(*) FILTER (length(bare) >= least AND bare <> '' AND contains(text, bare)) AS grounded FROM (SELECT text, trim(regexp_replace('«' || substr(text, 3, 12), '^[«. ]+|[. ]+$', '', 'g')) AS bare FROM conversations
-  WHERE regexp_full_match(substr(text, 3, 12), '[a-z ]+')), (SELECT unnest([0, 3, 4, 5, 6, 8, 10, 12]) AS least) GROUP BY least""")
+@query(r"""WITH s AS (SELECT text, '"' || unnest(string_split(text, ' ')) || ').' AS span FROM conversations), b AS (SELECT text, regexp_replace(span, '^[[:punct:] \t\n\f\r]+|[[:punct:] \t\n\f\r]+$', '', 'g') AS bare FROM s)
+  SELECT least, count(*) AS spans, count(*) FILTER (length(bare) >= least AND bare <> '' AND contains(text, bare)) AS grounded FROM b, (SELECT unnest([0, 3, 4, 5, 6, 8, 10, 12]) AS least) GROUP BY least""")
 def span_trim_probe(spark, d):
-    x = t(spark, d, "conversations").where(F.substring("text", 3, 12).rlike("^[a-z ]+$")).select(F.concat(F.lit("«"), F.substring("text", 3, 12)).alias("span"), F.col("text").alias("corpus"))
-    return survey.trim_probe(x.withColumn("span", F.regexp_replace("span", "«", "."))).select("least", "spans", "grounded")
+    x = t(spark, d, "conversations").select(F.explode(F.split("text", " ", -1)).alias("w"), F.col("text").alias("corpus"))
+    return survey.trim_probe(x.select(F.concat(F.lit('"'), "w", F.lit(").")).alias("span"), "corpus"))
 
 
-@query()
+@query("SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events")
 def stream_dedup(spark, d):
     """Events through a stream that keeps each id once, and its table read again."""
     import uuid
@@ -518,4 +523,4 @@ def stream_dedup(spark, d):
     root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     e.unionByName(e.where("event_type = 'view'")).write.parquet(f"{root}/in")
     append_new(spark.readStream.schema(e.schema).parquet(f"{root}/in"), "event_id", f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
\ No newline at end of file
