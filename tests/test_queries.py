@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from loomlog.plans import catalogue
+from loomlog.plans import catalogue, inventory
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -26,7 +26,7 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted((tuple(map(plain, r)) for r in df[sorted(df.columns)].itertuples(index=False)), key=lambda r: tuple((x is not None, x or "") for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.SQL))
+@pytest.mark.parametrize("name", sorted(inventory.SQL))
 def test_query_equals_its_sql(spark, db, name):
     got, want = catalogue.QUERIES[name](spark, DIR).toPandas(), db.sql(catalogue.SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
