@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlog.functions import contamination, grounding, redaction, references, text
-from loomlog.operators import blocks, changelog, digest, gate, merge, recovery, report, sessions, state, trend
+from loomlog.operators import blocks, changelog, digest, extract, gate, merge, recovery, report, sessions, state, trend
 from loomlog.plans.folders import shared_folder
 from loomlog.plans.registry import QUERIES, SQL, query, t
 from loomlog.sources import transcripts
@@ -170,11 +170,11 @@ def subagent_outcomes(spark, d):
 
 
 @query("""SELECT user_id, event_id FROM (SELECT *, max(ts) OVER (PARTITION BY user_id) AS top FROM events WHERE event_type = 'purchase') AS p WHERE ts = top
-  AND NOT EXISTS (SELECT 1 FROM events AS v WHERE v.user_id = p.user_id AND v.event_type = 'error' AND v.event_id % 3 = p.event_id % 3)""")
+  AND NOT EXISTS (SELECT 1 FROM events AS v WHERE v.user_id = p.user_id AND v.event_type = 'error' AND v.event_id % 97 = p.event_id % 97)""")
 def background_tasks(spark, d):
     e = t(spark, d, "events")
-    launched = e.where("event_type = 'purchase'").select(F.col("user_id").alias("session_id"), F.col("ts").alias("turn_index"), (F.col("event_id") % 3).alias("task_id"), "event_id")
-    done = e.where("event_type = 'error'").select(F.col("user_id").alias("session_id"), (F.col("event_id") % 3).alias("task_id")).distinct()
+    launched = e.where("event_type = 'purchase'").select(F.col("user_id").alias("session_id"), F.col("ts").alias("turn_index"), (F.col("event_id") % 97).alias("task_id"), "event_id")
+    done = e.where("event_type = 'error'").select(F.col("user_id").alias("session_id"), (F.col("event_id") % 97).alias("task_id")).distinct()
     return sessions.background_pending(launched, done).select(F.col("session_id").alias("user_id"), "event_id")
 
 
@@ -267,7 +267,7 @@ def _files(spark, d):
     return c.select(F.concat(F.lit("f"), s).alias("file"), F.concat_ws("\n", F.lit("# day"), final, F.lit(""), pending, torn).alias("text"))
 
 
-@query("""SELECT 'f' || c_custkey AS file, k AS block_ord, CASE k WHEN 0 THEN 'a' ELSE 'b' END || c_custkey AS session_id, CASE k WHEN 0 THEN 'u' ELSE 'v' END || c_custkey AS turn_uuid, CASE k WHEN 0 THEN '' ELSE 'pending' END AS provisional,
+@query("""SELECT 'f' || c_custkey AS file, k::BIGINT AS block_ord, CASE k WHEN 0 THEN 'a' ELSE 'b' END || c_custkey AS session_id, CASE k WHEN 0 THEN 'u' ELSE 'v' END || c_custkey AS turn_uuid, CASE k WHEN 0 THEN '' ELSE 'pending' END AS provisional,
   sha256(CASE k WHEN 0 THEN '- body ' || c_custkey ELSE '_No summary could be made for this session._' END) AS sha256 FROM customer, (SELECT unnest([0, 1]) AS k)""")
 def paired_blocks(spark, d):
     return blocks.blocks(_files(spark, d)).select("file", "block_ord", "session_id", "turn_uuid", "provisional", "sha256")
@@ -301,7 +301,7 @@ def merged_blocks(spark, d):
     li = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("file"), F.col("l_linenumber").alias("block_ord")).agg(F.when(F.min("l_linestatus") == "F", "").otherwise("pending").alias("provisional"))
     li = li.select("file", "block_ord", F.concat(F.lit("u"), "block_ord").alias("turn_uuid"), "provisional", F.lit("old").alias("body"))
     files = li.select("file").distinct()
-    new = files.where("file % 2 = 0").withColumn("turn_uuid", F.lit("u1")).unionByName(files.where("file % 3 = 0").withColumn("turn_uuid", F.lit("w"))).withColumns({"provisional": F.lit(""), "body": F.lit("new")})
+    new = li.where("file % 2 = 0 AND turn_uuid = 'u1'").select("file", "turn_uuid").unionByName(files.where("file % 3 = 0").withColumn("turn_uuid", F.lit("w"))).withColumns({"provisional": F.lit(""), "body": F.lit("new")})
     return merge.merge_blocks(li, new).select(F.col("file").alias("l_orderkey"), F.col("block_ord").alias("l_linenumber"), "body")
 
 
@@ -473,6 +473,30 @@ def jsonl_scan(spark, d):
     return x.groupBy(conv.alias("conv_id")).agg(F.count(F.lit(1)).alias("lines"), F.count_if("parsed").alias("parsed"), F.coalesce(F.sum(F.length(F.try_variant_get("v", "$.text", "string"))), F.lit(0)).alias("chars"))
 
 
+@query("""WITH c AS (SELECT *, role = 'assistant' OR (role = 'user' AND trim(text) <> '') AS works FROM conversations WHERE text IS NOT NULL)
+  SELECT conv_id, count(*) AS records, count(*) FILTER (works AND role = 'user') + CASE WHEN arg_min(role, turn) FILTER (works) = 'assistant' THEN 1 ELSE 0 END AS turns, count(*) FILTER (role = 'assistant') AS tool_events,
+  count(*) FILTER (role = 'assistant' AND turn % 3 = 0) AS failures, coalesce(string_agg(DISTINCT '/f' || (turn % 4)::VARCHAR, ',' ORDER BY '/f' || (turn % 4)::VARCHAR) FILTER (role = 'assistant'), '') AS files, 1::BIGINT AS unparsable FROM c GROUP BY conv_id HAVING count(*) FILTER (works) > 0""")
+def session_extraction(spark, d):
+    c = t(spark, d, "conversations").where("text IS NOT NULL")
+    turn, conv = F.col("turn").cast("string"), F.col("conv_id").cast("string")
+    stamp = F.concat(F.lit("2024-01-01T00:00:00.") , F.lpad(turn, 6, "0"), F.lit("Z"))
+    block = F.struct(F.lit("text").alias("type"), F.col("text").alias("text"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("struct<file_path:string>").alias("input"))
+    call = F.struct(F.lit("tool_use").alias("type"), F.lit(None).cast("string").alias("text"), turn.alias("id"), F.lit("Read").alias("name"), F.struct(F.concat(F.lit("/f"), (F.col("turn") % 4).cast("string")).alias("file_path")).alias("input"))
+    one = F.to_json(F.struct(F.col("role").alias("type"), conv.alias("sessionId"), stamp.alias("timestamp"), F.concat(F.lit("u"), turn).alias("uuid"), F.struct(F.array(block, call).alias("content")).alias("message")))
+    plain = F.to_json(F.struct(F.col("role").alias("type"), conv.alias("sessionId"), stamp.alias("timestamp"), F.concat(F.lit("u"), turn).alias("uuid"), F.struct(F.col("text").alias("content")).alias("message")))
+    ended = F.to_json(F.struct(F.lit("user").alias("type"), conv.alias("sessionId"), F.struct(F.array(F.struct(F.lit("tool_result").alias("type"), turn.alias("tool_use_id"), F.lit("out").alias("content"), (F.col("turn") % 3 == 0).alias("is_error"))).alias("content")).alias("message")))
+    lines = F.when(F.col("role") == "assistant", F.concat(one, F.lit("\n"), ended)).otherwise(plain)
+    logs = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", lines.alias("l")))), lambda x: x["l"]), "\n").alias("l"))
+    path = _folder(spark)
+    logs.select("conv_id", F.concat("l", F.lit("\nnot JSON")).alias("value")).repartition("conv_id").write.partitionBy("conv_id").text(path)
+    x = extract.event_logs(transcripts.records(spark, f"{path}/*/"))
+    results = F.col("tool_events")  # each call has its result's record
+    return x.select(
+        F.col("session_id").cast("long").alias("conv_id"), (F.col("records") - F.coalesce(results, F.lit(0))).alias("records"), F.size("turns").cast("long").alias("turns"), "tool_events", "failures",
+        F.array_join(F.array_sort("rollup.files_read"), ",").alias("files"), F.col("records_unparsable").alias("unparsable"),
+    ).na.fill(0, ["tool_events", "failures", "records"])
+
+
 @query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'not an object' WHEN 3 THEN 'missing or not text: sha256' END AS reason FROM orders WHERE o_orderkey < 1000 AND o_orderkey % 4 IN (0, 3)
   UNION ALL SELECT NULL, CASE o_orderkey % 4 WHEN 1 THEN 'not JSON' ELSE 'not an object' END FROM orders WHERE o_orderkey < 1000 AND o_orderkey % 4 IN (1, 2)""")
 def manifest_scan(spark, d):
