@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import bound, plain_line
+from .text import LINE_BREAK, bound, plain_line
 
 # Placeholders, template signatures, residue patterns, limits.
 PLACEHOLDER = r"<[a-zA-Z][a-zA-Z0-9 _./-]{0,40}>"
@@ -81,6 +81,40 @@ def echo_form(line: Column) -> Column:
     return F.regexp_replace(low, r"[\s.,;:!?]+$", "")
 
 
+def echo_norm(text: Column) -> Column:
+    """A text without emphasis, lower-cased, its white space as single spaces."""
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, r"[*`]+", "")), r"(?U)\s+", " "))
+
+
+def echo_line(line: Column) -> Column:
+    """A summary's line as it is looked for: no list sign, emphasis, number or end punctuation."""
+    plain = F.trim(F.regexp_replace(plain_line(line), r"[*`]+", ""))
+    return F.regexp_replace(F.regexp_replace(plain, r"^\d{1,3}[.)]\s+", ""), r"[.,;:!? ]+$", "")
+
+
+def echoes_source(summary: Column, raw: Column) -> Column:
+    """Whether a summary copies its source: three lines in a row that stand in it, or three such lines that
+    are half of the lines without residue. Lines under 20 characters neither extend nor end a run; a
+    line counts as written or as JSON escapes it."""
+    def judged(corpus: Column, lines: Column) -> Column:
+        def hit(line: Column) -> Column:
+            n = echo_line(line)
+            quoted = F.to_json(F.struct(n.alias("x")))
+            return F.contains(corpus, echo_norm(n)) | F.contains(corpus, echo_norm(F.substring(quoted, F.lit(7), F.length(quoted) - 8)))
+
+        def decide(marks: Column) -> Column:
+            start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
+            longest = F.aggregate(marks, start, lambda a, m: bound(F.when(m["hit"], a["run"] + 1).otherwise(0), lambda r: F.struct(r.alias("run"), F.greatest(a["best"], r).alias("best"))), lambda a: a["best"])
+            plain = F.filter(marks, lambda m: ~m["residue"])
+            copied = F.size(F.filter(plain, lambda m: m["hit"]))
+            return (longest >= OVERLAP_LINES) | ((copied >= OVERLAP_LINES) & (copied * 2 >= F.size(plain)))
+
+        return bound(F.transform(lines, lambda x: F.struct(hit(x).alias("hit"), residue(x).isNotNull().alias("residue"))), decide)
+
+    long = F.filter(F.split(summary, LINE_BREAK), lambda x: F.length(plain_line(x)) >= OVERLAP_LENGTH)
+    return bound(echo_norm(F.regexp_replace(raw, r"\\[tnr]", " ")), lambda c: bound(long, lambda ls: judged(c, ls)))
+
+
 def degrade(items: Column, asked: Column) -> Column:
     """Items without residue; null where the question holds residue, or more than half or all would
     go: then the whole is given up."""

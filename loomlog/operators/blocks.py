@@ -61,6 +61,40 @@ def strip_frontmatter(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\A---\nsessions: \[[^\n]*\]\n---\n", "")
 
 
+def apply_frontmatter(text: Column, ids: Column) -> Column:
+    """A text with its sessions in front: its own older list gives way, and a text that begins with any
+    other front matter stays as it is."""
+    foreign = text.startswith("---\n") & ~text.rlike(r"\A---\nsessions: \[[^\n]*\]\n---\n")
+    return F.when(foreign, text).otherwise(F.concat(frontmatter(ids), strip_frontmatter(text)))
+
+
+def records(found: DataFrame, file: str = "file") -> DataFrame:
+    """Manifest rows of blocks: the agent is the file's folder, the date its name; no log path is empty."""
+    parts = F.split(F.col(file), "/")
+    log = F.coalesce(F.col("eventlog_path"), F.lit("")) if "eventlog_path" in found.columns else F.lit("")
+    return found.select(F.col(file).alias("path"), "sha256", F.element_at(parts, -2).alias("agent"), F.regexp_replace(F.element_at(parts, -1), r"\.md$", "").alias("date"), "session_id", "turn_uuid", "provisional", log.alias("eventlog_path"))
+
+
+def tombstones(gone: DataFrame, by: str) -> DataFrame:
+    """Manifest lines that say by which block others were superseded."""
+    return gone.select("path", "session_id", "turn_uuid", F.lit("").alias("sha256"), F.col(by).alias("superseded_by"))
+
+
+def correction_scan(files: DataFrame, logs: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
+    """One row of what a correction would look at: files that are no UTF-8 (null text), torn blocks, blocks
+    that are provisional, without a log or with one that cannot be read (parsed), and those left to grade."""
+    good = files.where(F.col(text).isNotNull())
+    found = blocks(good, file, text)
+    broken = torn(good, found, file, text).agg(F.coalesce(F.sum("torn"), F.lit(0)).cast("long").alias("torn"))
+    x = found.join(logs.select("session_id", "parsed", F.lit(True).alias("_log")), "session_id", "left")
+    final = F.col("provisional") == ""
+    n = x.agg(
+        F.count_if(~final).alias("provisional"), F.count_if(final & F.col("_log").isNull()).alias("no_log"), F.count_if(final & F.col("_log").isNotNull() & ~F.coalesce("parsed", F.lit(False))).alias("bad_log"),
+        F.count_if(final & F.coalesce("parsed", F.lit(False))).alias("to_grade"),
+    )
+    return files.agg(F.count_if(F.col(text).isNull()).alias("undecodable")).join(broken).join(n)  # one row each
+
+
 def preview(lines: DataFrame, doc: str, order: str, line: str, last: int) -> DataFrame:
     """The last lines of each document's sections that hold a bullet: headings and bullets alone;
     lines before the first heading are a section of their own."""

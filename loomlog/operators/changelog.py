@@ -40,6 +40,13 @@ def drift(expected: DataFrame, actual: DataFrame, key: list[str], fields: list[s
     return x.withColumn("status", status).where("status is not null").select(*keys, "status", F.when(F.col("status") == "changed", F.array_join(changed, ",")).otherwise("").alias("fields"))
 
 
+def drift_json(found: DataFrame, key: list[str]) -> DataFrame:
+    """One row: the drift as a JSON object of lists by status, each in order of its keys."""
+    one = F.struct(*key, "fields")
+    lists = {s: F.coalesce(F.array_sort(F.collect_list(F.when(F.col("status") == s, one))), F.array()) for s in ("missing", "stale", "changed")}
+    return found.agg(F.to_json(F.struct(*[c.alias(s) for s, c in lists.items()])).alias("json"))
+
+
 def packages_drift(locked: DataFrame, deployed: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
     """Packages (name, version) whose deployed version differs, is missing or is not locked."""
     x = locked.select("name", F.col("version").alias("locked")).join(deployed.select("name", F.col("version").alias("deployed")), "name", "full")

@@ -174,6 +174,13 @@ def agent_of(path: Column, cwd: Column, known: list[str]) -> Column:
     return F.coalesce(direct, F.get(names, F.lit(0)), F.nullif(F.split(tail, "-")[0], F.lit("")), F.lit(""))
 
 
+def agent_folder(project: Column, root: str, known: list[str]) -> Column:
+    """Where a reader finds an agent's digests; unlike the writer, which falls back to `unknown`, it fails on
+    a project without an agent or with one whose name would leave the root."""
+    agent = agent_of(F.concat(project, F.lit("/x")), project, known)
+    return F.when(text.valid_name(agent), F.concat(F.lit(root.rstrip("/") + "/"), agent)).otherwise(F.raise_error(F.lit("no agent for this project")).cast("string"))
+
+
 def event_logs(records: DataFrame, budget: int = 200_000, known_agents: list[str] = (), limits: dict[str, int] = LIMITS) -> DataFrame:
     """One log for each transcript: who and where, its turns, subagents, compactions, what still runs, the
     rollup over all turns, and its figures. A log over the budget loses results, then arguments, then

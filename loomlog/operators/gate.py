@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomlog.functions import grounding
+from loomlog.functions.text import home_swap
 from loomlog.operators.blocks import without_markers
 
 #: Claims that a run record keeps.
@@ -81,8 +82,6 @@ def attributed(found: DataFrame, sessions: DataFrame, home: str = "/home/user")
     x = found.where("check = 'groundedness'").select("session_id", "kind", "claim").join(sessions.select("session_id", "corpus", "digest"), "session_id")
     x = x.withColumn("desynced", grounding.desynced_spans(without_markers(F.col("digest")))).withColumn("low", F.lower("claim"))
     low, corpus = F.col("low"), F.col("corpus")
-    from loomlog.functions.text import home_swap
-
     bucket = (
         F.when(F.col("kind") == "path", grounding.path_bucket(low, corpus, home_swap(low, home))).when(F.col("kind") == "ticket", grounding.ticket_bucket(low, corpus)).when(F.col("kind") == "tool", "absent")
         .otherwise(grounding.span_bucket(low, corpus, F.col("desynced")))
@@ -102,6 +101,11 @@ def corrections(sessions: DataFrame, found: DataFrame) -> DataFrame:
     return x.select("session_id", grounding.rewrite_conflations(F.col("digest"), F.col("numbers"), F.col("swaps")).alias("rewritten"), grounding.edits(F.col("digest"), F.col("numbers"), F.col("swaps")).alias("edits"))
 
 
+def shown(edits: DataFrame, most: int = 20) -> DataFrame:
+    """The first edits by session and line, as a preview of a correction."""
+    return edits.select("session_id", F.explode("edits").alias("e")).select("session_id", "e.*").orderBy("session_id", "line", "before").limit(most)
+
+
 def record_fields(found: DataFrame, buckets: DataFrame) -> DataFrame:
     """What a run record keeps of a session's findings: counts by check and by kind, and its first claims
     by kind, bucket and text."""

@@ -87,6 +87,11 @@ def new_values(current: Column, previous: Column) -> Column:
     return F.array_sort(F.array_except(current, previous))
 
 
+def other_modes(modes: Column, usual: str = "llm") -> Column:
+    """Render modes besides the usual one, in order; empty where there is none."""
+    return F.array_sort(F.array_except(modes, F.array(F.lit(usual))))
+
+
 def absent_count(by_kind: Column) -> Column:
     """Sum of `absent` over a map of maps."""
     return F.aggregate(F.map_values(by_kind), F.lit(0).cast("long"), lambda acc, m: acc + F.coalesce(F.try_element_at(m, F.lit("absent")), F.lit(0)))

@@ -173,3 +173,37 @@ def test_configuration(tmp_path):
     assert config.load(str(path))["paths"]["output"] == "/b"
     faults = config.check({"paths": {"transcripts": "/a", "output": "/a/b"}, "provider": {"key": "plain", "argv": "x y"}, "odd": {}, "hook": {"shell": 1}, "thresholds": {"floor": 2}})
     assert len(faults) == 6
+
+
+def test_echoes(spark):
+    from loomlog.functions import contamination
+
+    steps = ["First read the whole manual", "Then open the lid slowly please", "Finally press the \"red\" button"]
+    raw = "intro " + " ".join(steps).lower().replace('"', '\\"') + "\\n end"
+    copy = "\n".join(f"{k}. **{s}**." for k, s in enumerate(steps, 1))
+    mixed = "\n".join([steps[0], "My own line of enough length", "short", steps[1], "short", steps[2]])
+    thin = "\n".join([steps[0], *[f"Line {k} of my own making entirely" for k in range(4)], steps[1], *[f"More {k} of my own making entirely" for k in range(4)], steps[2]])
+    got = spark.createDataFrame([(copy,), (mixed,), (thin,), ("nothing of it at all here",)], "s string").select(contamination.echoes_source(F.col("s"), F.lit(raw)).alias("e")).collect()
+    assert [r.e for r in got] == [True, True, False, False]
+
+
+def test_block_tables(spark):
+    from loomlog.operators import blocks, changelog, extract, trend
+
+    one = spark.range(1)
+    again = blocks.apply_frontmatter(blocks.apply_frontmatter(F.lit("x"), F.array(F.lit("a"))), F.array(F.lit("a"), F.lit("b")))
+    assert one.select(again, blocks.apply_frontmatter(F.lit("---\ntitle: t\n---\nx"), F.array(F.lit("a")))).first()[:] == ("---\nsessions: [a, b]\n---\nx", "---\ntitle: t\n---\nx")
+    text = one.select(F.concat_ws("\n", blocks.compose(F.lit("s1"), F.lit("u1"), F.lit("/t"), F.lit(""), F.lit("b")), blocks.compose(F.lit("s2"), F.lit("u2"), F.lit("/t"), F.lit("pending"), F.lit("b")), blocks.anchor(F.lit("s3"), F.lit("u3"), F.lit("/t"), F.lit(""))).alias("t")).first().t
+    files = spark.createDataFrame([("/r/me/2024-01-01.md", text), ("/r/me/bad.md", None)], "file string, text string")
+    logs = spark.createDataFrame([("s1", True)], "session_id string, parsed boolean")
+    assert tuple(blocks.correction_scan(files, logs).first()) == (1, 1, 1, 0, 0, 1)
+    rows = blocks.records(blocks.blocks(files.where("text is not null"))).orderBy("turn_uuid").collect()
+    assert [(r.agent, r.date, r.session_id, r.eventlog_path) for r in rows] == [("me", "2024-01-01", "s1", ""), ("me", "2024-01-01", "s2", "")]
+    e, a = (spark.createDataFrame(x, "k int, v string") for x in ([(1, "a"), (2, "b")], [(2, "c"), (3, "d")]))
+    found = json.loads(changelog.drift_json(changelog.drift(e, a, ["k"], ["v"]), ["k"]).first().json)
+    assert found == {"missing": [{"k": 1, "fields": ""}], "stale": [{"k": 3, "fields": ""}], "changed": [{"k": 2, "fields": "v"}]}
+    assert one.select(trend.other_modes(F.array(F.lit("verbatim"), F.lit("llm")))).first()[0] == ["verbatim"]
+    project = spark.createDataFrame([("/h/.claude/projects/me",)], "p string")
+    assert project.select(extract.agent_folder(F.col("p"), "/digests", [])).first()[0] == "/digests/me"
+    with pytest.raises(Exception, match="no agent"):
+        spark.createDataFrame([("/h/other",)], "p string").select(extract.agent_folder(F.col("p"), "/digests", [])).collect()
