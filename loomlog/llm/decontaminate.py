@@ -111,6 +111,7 @@ def contamination(docs: DataFrame, bench: DataFrame, *, width: int = 13, part: i
     items = runs.where("item_id is not null").select("k", F.col("item_id").cast("string").alias("i")).distinct()
     items = items.groupBy("k").agg(F.sort_array(F.collect_list("i")).alias("items"))
     found = index.scratch.write(hits.join(items, "k", "left"), "hits")
+    index.scratch.drop("terms", "vocabulary", "anchors", "candidates", "documents", "runs")
     out = index.postings.where("t = 0").select("k", F.col("id").alias(id_col), F.col("pos").cast("long").alias("n_words"))
     out = out.join(checked(found), "k", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
     names = F.coalesce("items", F.array().cast("array<string>"))

@@ -152,6 +152,7 @@ def embedding_links(
                 yield pd.DataFrame({"a": np.concatenate([a for a, _ in edges]), "b": np.concatenate([b for _, b in edges]), "n": 0})
 
     found = scratch.write(dealt.mapInPandas(compare, "a long, b long, n long"), "found")
+    scratch.drop("full", "points")
     comp = components(spark, found.where("a <> b").select("a", "b")).select(F.col("node").alias("c"), "root")
     links = found.where("a = b").groupBy(F.col("a").alias("c")).agg(F.sum("n").alias("links"))
     named = coded.select("c", "least", "n").join(comp, "c", "left").join(links, "c", "left")

@@ -296,6 +296,7 @@ def extract_text(
     size = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
     often = counts.where("hash <> 0").join(size, "host").where((F.col("n") >= F.col("pages") * share) | (F.col("n") >= many))
     often = scratch.write(often.select("host", "hash", (F.col("n") >= F.col("pages") * article_share).alias("all")), "templates")
+    scratch.drop("counts")
     lists = often.groupBy("host").agg(F.collect_list("hash").alias("gone"), F.collect_list("all").alias("gone_all"))  # at most a page's subtrees / share, and the host's subtrees on `many` pages
     if often.count() <= broadcast_rows:
         rows = rows.join(F.broadcast(lists), "host", "left")

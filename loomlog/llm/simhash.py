@@ -132,6 +132,7 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     classes = scratch.write(fp.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     edges = link_forest(spark, scratch, classes.select("fp"), distance)
     comp = components(spark, edges).select(F.col("node").alias("fp"), "root")
+    scratch.drop("keys")
     joined = classes.join(comp, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     out = joined.join(named, "root").select("fp", "component_id")

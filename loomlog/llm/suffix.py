@@ -455,7 +455,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return pd.DataFrame(out, columns=["bucket", "a", "b", "id", "k", "lo", "gone"])
 
     found = scratch.write(routed.groupBy("p").applyInPandas(compare, "bucket int, a long, b long, id long, k long, lo long, gone binary"), "found")
-    scratch.drop("alive")
+    scratch.drop("alive", "drawn", "least")
     both = Window.partitionBy("a", "b")  # a row for each range partition at most
     late = found.where("lo >= 0").withColumn("first", F.min(F.struct("id", "k", "lo")).over(both)).where(F.struct("id", "k", "lo") != F.col("first"))
     cols = ["bucket", "id", "k", "lo", "gone"]
