@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomlog.functions import redaction, references, text
 from loomlog.operators import sessions
+from loomlog.plans.folders import shared_folder
 
 #: Characters that a log keeps of a text, a target, arguments and a result.
 LIMITS = {"text": 4000, "target": 500, "args": 300, "result": 600}
@@ -31,7 +32,11 @@ def _joined(values: Column) -> Column:
 
 def kept(value: Column, limit: str, limits: dict[str, int]) -> Column:
     """A text as a log holds it: redacted whole, then cut."""
-    return text.elide(redaction.redact(value), limits[limit])
+    return cut(value, limits[limit])
+
+
+def cut(value: Column, limit: int) -> Column:
+    return text.bound(redaction.redact(value), lambda x: text.elide(x, limit))
 
 
 def entries(records: DataFrame) -> DataFrame:
@@ -92,7 +97,7 @@ def tool_events(found: DataFrame, limits: dict[str, int] = LIMITS) -> DataFrame:
     ended = F.col("body").isNotNull()
     return x.select(
         "path", "line_no", "turn_ix", "seq", "tool", F.col("c.kind").alias("kind"), F.col("c.target").alias("raw_target"), kept(F.col("c.target"), "target", limits).alias("target"), kept(sessions.args_summary(F.col("args"), shown), "args", limits).alias("args_digest"),
-        F.when(ended, ~F.col("failed")).alias("ok"), F.when(F.col("failed"), text.elide(redaction.redact(F.col("body")), 300)).otherwise("").alias("error"), F.coalesce(kept(F.col("body"), "result", limits), F.lit("")).alias("result_digest"),
+        F.when(ended, ~F.col("failed")).alias("ok"), F.when(F.col("failed"), cut(F.col("body"), 300)).otherwise("").alias("error"), F.coalesce(kept(F.col("body"), "result", limits), F.lit("")).alias("result_digest"),
         F.coalesce(F.length("body"), F.lit(0)).cast("long").alias("result_chars"), F.coalesce(task_status, F.lit("")).alias("task_status"), F.col("id").alias("tool_use_id"), "args", "plain", "agent_id", "own_status", F.coalesce("background", F.lit(False)).alias("background"), "task_id",
     )
 
@@ -103,7 +108,7 @@ def subagents(found: DataFrame, events: DataFrame) -> DataFrame:
     calls = events.where("tool IN ('Agent', 'Task')")
     agent = F.coalesce(F.nullif("agent_id", F.lit("")), references.last_agent_id(F.coalesce("plain", F.lit(""))))
     calls = calls.select(
-        "path", "turn_ix", "seq", "tool_use_id", F.coalesce(F.get_json_object("args", "$.subagent_type"), F.lit("")).alias("subagent_type"), text.elide(redaction.redact(F.coalesce(F.get_json_object("args", "$.description"), F.lit(""))), 300).alias("description"),
+        "path", "turn_ix", "seq", "tool_use_id", F.coalesce(F.get_json_object("args", "$.subagent_type"), F.lit("")).alias("subagent_type"), cut(F.coalesce(F.get_json_object("args", "$.description"), F.lit("")), 300).alias("description"),
         (F.coalesce(F.get_json_object("args", "$.run_in_background") == "true", F.lit(False)) | F.col("background")).alias("background"), F.coalesce(agent, F.lit("")).alias("agent_id"), F.when(F.col("background"), "running").otherwise(F.coalesce("own_status", F.lit(""))).alias("own"),
     )
     last = notices(found).where("status <> ''").groupBy("path", "tool_use_id").agg(F.max_by("status", "line_no").alias("notified"))
@@ -184,10 +189,12 @@ def agent_folder(project: Column, root: str, known: list[str]) -> Column:
 def event_logs(records: DataFrame, budget: int = 200_000, known_agents: list[str] = (), limits: dict[str, int] = LIMITS) -> DataFrame:
     """One log for each transcript: who and where, its turns, subagents, compactions, what still runs, the
     rollup over all turns, and its figures. A log over the budget loses results, then arguments, then
-    the ends of targets, and never what was said; sizes are those of Spark's own serialisation."""
-    found = entries(records)
-    events = tool_events(found, limits)
-    each = turns(found, events, limits)
+    the ends of targets, and never what was said; sizes are those of Spark's own serialisation. Entries,
+    events and turns are kept in the shared folder, so that transcripts are parsed once."""
+    shared_folder(records.sparkSession)
+    found = entries(records).checkpoint()  # read by every part below, as are the next two
+    events = tool_events(found, limits).checkpoint()
+    each = turns(found, events, limits).checkpoint()
     w = "line_no"
 
     def first(path: str) -> Column:
