@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, blocks_of, tidy
 
 #: Pieces of one length are ranked in groups of about GROUP, or a GROUPS-th of all if that is more.
-GROUP, GROUPS = 4096, 1 << 16
+GROUP, GROUPS = 256, 1 << 16
 #: Nodes of each of the two searches, and fillings they look at, unless the lower bound is met before.
 NODES = 8000
 #: Fillings that are looked at first, and branches that lead to them.
