@@ -67,3 +67,10 @@ def test_components_of_long_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {i: 5 for i in range(5, 40)}
+
+
+def test_very_long_texts_link(documents):
+    long = " ".join(f"w{k % 5003}" for k in range(300_000))
+    rows = [(1, long), (2, long + " tail"), (3, "other words entirely here"), (4, None), (5, " ")]
+    got = {r.doc_id: r.component_id for r in simhash.simhash_groups(documents(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
