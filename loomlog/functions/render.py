@@ -51,6 +51,7 @@ def event_log_text(log: Column) -> Column:
         title = F.concat(F.lit("-- turn "), t["index"].cast("string"), F.lit(" ["), F.substring(t["turn_uuid"], 1, 8), F.lit("] "), head(t["user_text"], 100, "(no user text)"))
         return F.array_join(F.concat(F.array(title), events), "\n")
 
+    # The heads of the lines.
     top = F.concat_ws(
         "\n", F.concat(F.lit("session   "), F.coalesce(F.nullif(log["session_id"], F.lit("")), F.lit("(unknown)"))), F.concat(F.lit("agent     "), F.coalesce(F.nullif(log["agent"], F.lit("")), F.lit("(unknown)"))),
         F.concat(F.lit("window    "), F.coalesce(log["started_at"], F.lit("?")), F.lit(" -> "), F.coalesce(log["ended_at"], F.lit("?"))), F.format_string("turns     %d   events %d", st["turns"], st["tool_events"]),

@@ -12,6 +12,7 @@ from loomlog.functions import redaction, references, text
 from loomlog.operators import sessions
 from loomlog.plans.folders import shared_folder
 
+# Record and block types, field names, and where projects live.
 #: Characters that a log keeps of a text, a target, arguments and a result.
 LIMITS = {"text": 4000, "target": 500, "args": 300, "result": 600}
 _STRINGS = "array<string>"

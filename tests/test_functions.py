@@ -111,27 +111,22 @@ def test_contamination(one):
     assert one(contamination.echo_form(F.col("t")), t="1. **Do** the  thing.") == "do the thing"
 
 
-def strip_edges(value):
-    """Layer by layer, for comparison."""
-    lo, hi = 0, len(value)
+def layers_off(value):
+    """One layer at a time, for comparison."""
     while True:
-        before = lo, hi
-        if hi - lo > 1 and value[lo] == value[hi - 1] and value[lo] in "\"'":
-            lo, hi = lo + 1, hi - 1
-        while lo < hi and value[lo] == "`":
-            lo += 1
-        while lo < hi and value[hi - 1] == "`":
-            hi -= 1
-        if (lo, hi) == before:
-            return value[lo:hi]
+        inner = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in ("'", '"') else value
+        inner = inner.strip("`")
+        if inner == value:
+            return value
+        value = inner
 
 
 def test_peel(spark):
     rng = random.Random(6)
     values = ["x", "\"'x'\"", "`'x'`", "'`\"x\"`'", "\"x'", "'x", "``x`", "", "'", "''", "\"''\""] + ["".join(rng.choice("\"'`x") for _ in range(rng.randint(1, 9))) for _ in range(300)]
-    values = [v for v in values if "x" in v or "`" not in v] + ["\"'" * 20_000 + "v" + "'\"" * 20_000]
+    values = [v for v in values if "x" in v or "`" not in v] + ["\"'" * 3_000 + "v" + "'\"" * 3_000]
     got = spark.createDataFrame([(v,) for v in values], "v string").select("v", text.peel(F.col("v")).alias("p")).collect()
-    assert [(r.v, r.p) for r in got] == [(v, strip_edges(v)) for v in values]
+    assert [(r.v, r.p) for r in got] == [(v, layers_off(v)) for v in values]
 
 
 def test_occurrences_and_starts(one):
