@@ -25,6 +25,8 @@ from .common import Powers, Scratch, blocks_of, hash_words, mix64, text_bytes, t
 
 #: MB of text in a bucket; training tokens in a partition of the hash space; fewest of either.
 BUCKET_MB, PART_TOKENS, FEWEST = 8, 2_000_000, 48
+#: Most partitions of the hash space: a bucket's array for each of them keeps some ten keys at any size.
+MOST_PARTS = 1 << 17
 #: Bits for each entry of the filter, its hashes and the log base.
 BITS, HASHES, STEP = 20, 6, 1.5
 #: The level of the largest count that a shard adds up to; no lookup goes beyond it.
@@ -178,7 +180,7 @@ def score_documents(
     held = F.coalesce(held_out, F.lit(False))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string"))).alias("b")).first()["b"] or 0
     buckets = max(FEWEST, math.ceil(size / (bucket_mb * 1e6)))
-    parts = max(FEWEST, math.ceil(size / (6.0 * PART_TOKENS)))
+    parts = min(MOST_PARTS, max(FEWEST, math.ceil(size / (6.0 * PART_TOKENS))))
     rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("t"), held.alias("held"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "t"), F.lit(buckets)).cast("int")).select("bucket", "id", "held", "t")
 

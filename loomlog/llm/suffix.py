@@ -29,6 +29,8 @@ from .lm import by_part, pack_sorted, shard_of, unpack_sorted
 GRAM, BUCKET_MB, FEWEST = 32, 8, 48
 #: Splitters are drawn from about so many suffixes for each range partition; ranges of one step.
 SAMPLED, RANGES = 40, 4096
+#: Most partitions of the hash space: a bucket's array for each of them keeps a few hashes at any size.
+HASH_PARTS = 1 << 15
 #: Rows up to which a segment is sorted by all its words at once instead of being parted further.
 SMALL = 256
 _STEP = 0x9E3779B97F4A7C15 | 1
@@ -310,7 +312,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     text = F.col(text_col).cast("string")
     size = docs.agg(F.sum(F.octet_length(text)).alias("b")).first()["b"] or 0
     buckets = max(FEWEST, math.ceil(size / (bucket_mb * 1e6)))
-    parts = buckets
+    parts, shards = buckets, min(buckets, HASH_PARTS)
     id_ = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     rows = docs.select(id_.alias("id"), F.col(id_col).isNull().alias("lost"), text_bytes(text_col).alias("t"), F.struct(F.lit(0).alias("_"), *[docs[c] for c in carry]).alias("x"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "t"), F.lit(buckets)).cast("int")).select("bucket", "id", F.xxhash64("t").alias("k"), "lost", "t", "x")
@@ -339,9 +341,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         cut = np.flatnonzero(new)
         twice = np.diff(np.append(cut, len(h))) > 1
         h, own = h[cut], own[cut]
-        key = own * parts + shard_of(h, parts)
+        key = own * shards + shard_of(h, shards)
         order, cuts = by_part(h, key)
-        out = [(k % parts, k // parts, pack_sorted(h[order[a:b]]), np.packbits(twice[order[a:b]]).tobytes()) for k, a, b in cuts]
+        out = [(k % shards, k // shards, pack_sorted(h[order[a:b]]), np.packbits(twice[order[a:b]]).tobytes()) for k, a, b in cuts]
         for lo in range(0, len(out), 10_000):
             cols = list(zip(*out[lo : lo + 10_000]))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["p", "bucket", "a", "b"])
