@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomlog.operators.trend import interpolated
+
 
 def with_logs(blocks: DataFrame, logs: DataFrame, key: str) -> DataFrame:
     """Blocks with their logs; has_log says whether there is one."""
@@ -28,10 +30,10 @@ def sampled(df: DataFrame, group: str, item: str, seed: str, n: int, salts: int
 def field_survey(df: DataFrame, fields: list[str], floor: float) -> DataFrame:
     """For each denominator: n, max, p99, median, how many are over the floor."""
     long = df.select(F.explode(F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f).cast("double"))])).alias("field", "value"))
-    return long.groupBy("field").agg(
-        F.count("value").alias("n"), F.max("value").alias("max"), F.percentile("value", F.lit(0.99)).cast("long").alias("p99"), F.percentile("value", F.lit(0.5)).cast("long").alias("median"),
-        F.count_if(F.col("value") > floor).alias("over"),
-    )
+    n = long.groupBy("field").agg(F.count("value").alias("n"), F.max("value").alias("max"), F.count_if(F.col("value") > floor).alias("over"))
+    for name, q in (("p99", 0.99), ("median", 0.5)):
+        n = n.join(interpolated(long, ["field"], "value", q, name), "field", "left")
+    return n.select("field", "n", "max", "p99", "median", "over")
 
 
 def foreign_probe(claims: DataFrame, corpora: DataFrame, n: int, seed: str, grounded) -> DataFrame:
