@@ -543,3 +543,17 @@ def last_task_status(spark, d):
     e = t(spark, d, "events").select(F.col("user_id").alias("session_id"), F.lit(1).alias("task_id"), F.when(F.col("event_type") != "view", F.col("event_type")).otherwise("").alias("status"), F.struct("ts", "event_id").alias("seq"))
     x = digest.last_tasks(e)
     return x.select(F.col("session_id").alias("user_id"), "status", F.col("first_seq").isNotNull().alias("seen"))
+
+
+@query("SELECT user_id, max(event_id) AS last_offset FROM events GROUP BY user_id")
+def stream_progress(spark, d):
+    """Offsets of a stream's keys: state moves them forward, and late rows never move them back."""
+    from loomlog.streaming.sessions import follow, progress
+
+    root = _folder(spark)
+    e = t(spark, d, "events").select("user_id", "event_id")
+    e.repartition(4).write.parquet(f"{root}/in")
+    moved = progress(follow(spark, f"{root}/in", "user_id long, event_id long", 2), "user_id", "event_id")
+    out = moved.writeStream.outputMode("update").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    out.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{root}/out/n={n}")).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("user_id").agg(F.max("last_offset").alias("last_offset"))
