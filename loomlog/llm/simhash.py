@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, blocks_of, checked, components, forest, in_blocks, sorted_groups, text_bytes, tidy
+from .similar import similar_groups
 
 BLOCK = 256
 #: Fingerprints that a task expands into variants, and most tasks for it.
@@ -140,10 +141,20 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return fp.join(out, "fp").select(F.col("id").alias(id_col), digits.alias("fingerprint"), "component_id")
 
 
-def simhash_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3) -> DataFrame:
+def simhash_dedup(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, similarity: float | None = None,
+) -> DataFrame:
     """The rows of docs whose document names its component: one of each group stays. Rows with a
-    null id stay. Columns are those of docs."""
-    groups = simhash_groups(docs, id_col=id_col, text_col=text_col, width=width, distance=distance)
+    null id stay. Columns are those of docs.
+
+    Groups are those of fingerprints, or, where a similarity of 0.8 or more is given, of texts whose
+    sets of five-word shingles are that similar. Texts of similarity 0.8 differ in some 10 of 64 bits,
+    which deletion variants of selective segments miss, so candidates then come from MinHash bands and
+    every link is verified on the whole sets (similar.py)."""
+    if similarity is None:
+        groups = simhash_groups(docs, id_col=id_col, text_col=text_col, width=width, distance=distance)
+    else:
+        groups = similar_groups(docs, id_col=id_col, text_col=text_col, least=similarity)
     scratch = Scratch(docs.sparkSession, "simhash-gone")
     gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
     gone = checked(scratch.write(gone, "ids"))
