@@ -149,8 +149,8 @@ def simhash_dedup(
 
     Groups are those of fingerprints, or, where a similarity of 0.8 or more is given, of texts whose
     sets of five-word shingles are that similar. Texts of similarity 0.8 differ in some 10 of 64 bits,
-    which deletion variants of selective segments miss, so candidates then come from MinHash bands and
-    every link is verified on the whole sets (similar.py)."""
+    which deletion variants of selective segments miss, so candidates then come from bands of SimHash
+    fingerprints of 512 bits, and every link is verified on the whole sets (similar.py)."""
     if similarity is None:
         groups = simhash_groups(docs, id_col=id_col, text_col=text_col, width=width, distance=distance)
     else:
