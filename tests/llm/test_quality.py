@@ -135,3 +135,22 @@ def test_probabilities_equal_brute_force(spark):
     other = quality.train(spark.createDataFrame([("bad bad a bad b bad c",)] * 3, "text string"), order=2)
     model.against(other)
     assert model.log10([b"a b", b"a bad b"], Powers())[2].tolist()[1] > 0
+
+
+def test_all_labelled_documents_teach(documents, spark):
+    """Scores are those of models of all unwanted and, but for the held-back fold, all trusted documents."""
+    rng = random.Random(8)
+    text = lambda n, words: " ".join(f"{rng.choice(words)}{int(rng.paretovariate(0.4)) % 500}" for _ in range(n))
+    rows = [(i, text(rng.randint(1, 20), "ab"), "en") for i in range(2500)] + [(5000 + i, text(8, "bc"), "xx") for i in range(1500)] + [(9000, "", None), (9001, "a1 zz c3", None)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2500)] + [(5000 + i, 0, 1) for i in range(1500)], "doc_id long, quality int, toxic int")
+    docs = documents(rows)
+    fold = spark.range(2500).selectExpr("id", "pmod(xxhash64(id, 17), 1048576) / 1048576D AS fold").where(f"fold < {quality.TAUGHT}")
+    taught = {r.id for r in fold.collect()}
+    assert 1900 < len(taught) < 2100
+    model = quality.train(spark.createDataFrame([(t,) for i, t, _ in rows if i in taught], "text string"))
+    model.against(quality.train(spark.createDataFrame([(t,) for i, t, _ in rows if 5000 <= i < 9000], "text string"), order=quality.CONTRAST_ORDER))
+    n, lp, contrast = model.log10([t.encode() for _, t, _ in rows], Powers())
+    got = {r.doc_id: r for r in quality.classify(docs, labels).select("row.doc_id", "n_tokens", "perplexity", "contrast").collect()}
+    assert len(got) == len(rows) and contrast.max() > 0
+    for (i, _, _), k, x, c in zip(rows, n, lp, contrast):
+        assert got[i].n_tokens == k and math.isclose(got[i].perplexity, 10 ** (-x / k), rel_tol=1e-4) and math.isclose(got[i].contrast, c, abs_tol=1e-4), i
